@@ -58,7 +58,7 @@ def splits_of(records: DataFrame, manifest: DataFrame) -> DataFrame:
     r = records.where("rec_id is not null").dropDuplicates(["rec_id"])
     r = r.select("rec_id", stem_key(F.col("meta.stem")).alias("sitting"), own.alias("own"), "source", folded(transcript(F.col("messages"))).alias("words"))
     r = r.join(notes, "sitting", "left")
-    return r.select("rec_id", F.coalesce(F.element_at(order, F.col("rank").cast("int")), "own").alias("split"), "source", "words")
+    return r.select("rec_id", F.when(F.col("rank") == 1, "test").when(F.col("rank") == 2, "validation").when(F.col("rank") == 3, "train").otherwise(F.col("own")).alias("split"), "source", "words")
 
 
 def common_words(texts: DataFrame) -> list[str]:
