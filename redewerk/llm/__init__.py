@@ -1,0 +1,15 @@
+"""Operators for training data. Nothing outside this subpackage imports it."""
+
+from __future__ import annotations
+
+from importlib import import_module
+
+MODULES = ("splits", "overlaps", "names")
+
+
+def queries() -> dict:
+    return {k: v for m in MODULES for k, v in import_module(f".{m}", __name__).queries().items()}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {k: v for m in MODULES for k, v in import_module(f".{m}", __name__).oracle_sql().items()}
