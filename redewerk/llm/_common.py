@@ -83,7 +83,7 @@ def folded(c: Column) -> Column:
 
 def content_of(messages: Column, roles: list[str]) -> Column:
     """Content of the first message by one of ``roles`` (null if there is none)."""
-    return F.filter(messages, lambda m: F.lower(F.trim(m["role"])).isin(roles))[0]["content"]
+    return F.get(F.filter(messages, lambda m: F.lower(F.trim(m["role"])).isin(roles)), F.lit(0))["content"]
 
 
 def part_count(df: DataFrame, least: int = 1) -> int:
