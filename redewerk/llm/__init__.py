@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("splits", "overlaps", "names", "pieces", "scans", "defects", "turns", "packing", "leaks")
+MODULES = ("splits", "overlaps", "names", "pieces", "scans", "defects", "turns", "packing", "leaks", "encoding")
 
 
 def queries() -> dict:
