@@ -29,11 +29,11 @@ def overlap_assigned(segments: DataFrame, turns: DataFrame, keys: list[str]) ->
 
 def assigned(segments: DataFrame, turns: DataFrame, keys: list[str]) -> DataFrame:
     """Adds ``speaker``: by overlap; a gap goes on with the speaker before; a gap at the beginning takes the
-    turn whose middle is nearest; UNKNOWN without turns."""
+    turn whose middle is nearest (if both have times); UNKNOWN without turns."""
     s = overlap_assigned(segments.drop("speaker"), turns, keys)
     w = W.partitionBy(*keys).orderBy("ord")
-    first = s.withColumn("rn", F.row_number().over(w)).where("rn = 1 and overlap_speaker is null").select(*keys, "ord", ((F.col("start") + F.col("end")) / 2).alias("mid"))
-    t = turns.select(*keys, ((F.col("start") + F.col("end")) / 2).alias("tmid"), F.col("start").alias("t0"), F.col("speaker").alias("sp"))
+    first = s.withColumn("rn", F.row_number().over(w)).where("rn = 1 and overlap_speaker is null and start is not null and end is not null").select(*keys, "ord", ((F.col("start") + F.col("end")) / 2).alias("mid"))
+    t = turns.where("start is not null and end is not null").select(*keys, ((F.col("start") + F.col("end")) / 2).alias("tmid"), F.col("start").alias("t0"), F.col("speaker").alias("sp"))
     near = first.join(t, keys).groupBy(*keys, "ord").agg(F.min_by("sp", F.struct(F.abs(F.col("mid") - F.col("tmid")), "t0", "sp")).alias("near"))
     s = s.join(near, [*keys, "ord"], "left").withColumn("known", F.coalesce("overlap_speaker", "near"))
     s = s.withColumn("speaker", F.coalesce(F.last("known", ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, 0)), F.lit("UNKNOWN")))

@@ -131,12 +131,20 @@ def ingest_report(rows: DataFrame) -> DataFrame:
     )
 
 
-def shards(rows: DataFrame, order: str, n: int) -> DataFrame:
-    """Adds ``shard``: the position in order modulo n, counted over range partitions."""
-    line = rows.repartitionByRange(order).sortWithinPartitions(order).withColumn("_p", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
-    line = line.checkpoint() if line.sparkSession.sparkContext.getCheckpointDir() else line.cache()
-    at, before = 0, {}
+def positions(rows: DataFrame, order: list[str]) -> DataFrame:
+    """Adds ``position`` (from 0) in order. Range partitions count on their own; only their sizes pass through the driver."""
+    spark = rows.sparkSession
+    line = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    # kept, so that both passes see the same ranges
+    line = line.persist()
+    at, before = 0, []
     for r in line.groupBy("_p").count().orderBy("_p").collect():
-        before[r["_p"]], at = at, at + r["count"]
-    starts = line.sparkSession.createDataFrame(list(before.items()), "_p int, _b bigint")
-    return line.join(F.broadcast(starts), "_p").withColumn("shard", F.pmod(F.col("_b") + F.col("_m"), F.lit(n)).cast("int")).drop("_p", "_m", "_b")
+        before.append((r["_p"], at))
+        at += r["count"]
+    starts = spark.createDataFrame(before, "_p int, _b bigint")
+    return line.join(F.broadcast(starts), "_p").withColumn("position", F.col("_b") + F.col("_m")).drop("_p", "_m", "_b")
+
+
+def shards(rows: DataFrame, order: str, n: int) -> DataFrame:
+    """Adds ``shard``: the position in order modulo n."""
+    return positions(rows, [order]).withColumn("shard", F.pmod("position", F.lit(n)).cast("int")).drop("position")

@@ -68,7 +68,8 @@ def passes(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def title_of(minutes: Column, top: Column) -> Column:
     """Title behind ``Zu TOP n`` (not of ``n:`` or a longer number); ``TOP n`` without one."""
-    t = F.regexp_extract(minutes, F.concat(F.lit(r"(?im)^#*\s*Zu\s+TOP\s*"), top.cast("string"), F.lit(r"(?![\d:.])\s+(.+)$")), F.lit(1))
+    pattern = F.concat(F.lit(r"(?im)^#*\s*Zu\s+TOP\s*"), top.cast("string"), F.lit(r"(?![\d:.])\s+(.+)$"))
+    t = F.call_function("regexp_extract", minutes, pattern, F.lit(1))
     t = F.btrim(F.regexp_replace(t, r"\s+", " "), F.lit(TRIM_SET))
     return F.when(t != "", t).otherwise(F.concat(F.lit("TOP "), top.cast("string")))
 

@@ -13,9 +13,9 @@ from pyspark.sql.streaming import StreamingQuery
 from ..sources.sinks import VersionedTable
 
 
-def arrivals(spark: SparkSession, folder: str, schema: str) -> DataFrame:
-    """A stream over Parquet files that are added to a folder."""
-    return spark.readStream.schema(schema).parquet(folder)
+def arrivals(spark: SparkSession, folder: str, schema: str, names: str = "*.parquet") -> DataFrame:
+    """A stream over the Parquet files of a folder, those added later included."""
+    return spark.readStream.schema(schema).option("pathGlobFilter", names).parquet(folder)
 
 
 def merged(ledger: DataFrame, batch: DataFrame) -> DataFrame:
