@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -155,46 +156,54 @@ _TURN = T.StructType(
 )
 
 
-def _part_turns(g: pd.DataFrame, first: bool, last: bool, task: int) -> list[tuple]:
-    """Turns of the rows of one part within a task. Those that rows of other tasks may touch are marked as edges."""
-    start = clock(g["start_s"].to_numpy(dtype=float))
-    end = g["end_s"].to_numpy(dtype=float)
-    speech = g["text"].str.contains(r"\w", regex=True, na=False).to_numpy()
+_ARROW = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.string(), pa.bool_(), pa.int64(), pa.int32()]
+_SPOKEN = re.compile(r"\w")
+
+
+def _part_turns(rows: list[tuple], first: bool, last: bool, task: int) -> list[tuple]:
+    """Turns of the rows (stem, pt, ord, start_s, end_s, no, text) of one part within a task. Those that rows of other tasks may touch are marked as edges."""
+    start = clock(np.array([x[3] for x in rows], dtype=float))
+    stem, pt = rows[0][:2]
     out: list[list] = []
-    for i in np.flatnonzero(speech):
-        no = g["no"].iat[i]
-        no = None if pd.isna(no) else int(no)
-        o, text = int(g["ord"].iat[i]), g["text"].iat[i]
-        stop = max(start[i], end[i]) if not np.isnan(end[i]) else start[i]
+    for (_, _, o, _, end, no, text), at in zip(rows, start):
+        if text is None or not _SPOKEN.search(text):
+            continue
+        stop = at if end is None or end < at else end
         if out and (no is None or no == out[-1][4]):
             x = out[-1]
             x[3], x[6] = o, max(x[6], stop)
             x[7].append(text)
         else:
-            out.append([g["stem"].iat[0], int(g["pt"].iat[0]), o, o, no, start[i], stop, [text]])
-    rows = []
+            out.append([stem, pt, o, o, no, float(at), float(stop), [text]])
+    turns = []
     for k, x in enumerate(out):
         # the first, the one after a first without speaker, and the last
         edge = (first and (k == 0 or (k == 1 and out[0][4] is None))) or (last and k == len(out) - 1)
-        rows.append((*x[:7], " ".join(x[7]), edge, task, k if k < len(out) - 1 else k))
-    return rows
+        turns.append((*x[:7], " ".join(x[7]), edge, task, k))
+    return turns
 
 
-def _turns(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _turns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
     task = TaskContext.get().partitionId()
-    held: list[pd.DataFrame] = []
-    key, first = None, True
-    for pdf in parts:
-        for at, g in pdf.groupby(["stem", "pt"], sort=False):
-            if key is not None and at != key:
-                yield pd.DataFrame(_part_turns(pd.concat(held), first, False, task), columns=_TURN.names)
+    held: list[tuple] = []
+    first = True
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _ARROW)], names=_TURN.names)
+
+    for b in batches:
+        done: list[tuple] = []
+        for row in zip(*(c.to_pylist() for c in b.columns)):
+            if held and (row[0] != held[-1][0] or row[1] != held[-1][1]):
+                done += _part_turns(held, first, False, task)
                 held, first = [], False
-            key = at
-            held.append(g)
-    if held:
-        yield pd.DataFrame(_part_turns(pd.concat(held), first, True, task), columns=_TURN.names)
+            held.append(row)
+        if done:
+            yield batch(done)
+    if held and (done := _part_turns(held, first, True, task)):
+        yield batch(done)
 
 
 def _joined(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -223,7 +232,7 @@ def turns(segments: DataFrame) -> DataFrame:
     """
     rows = written(cleaned(segments), "clean")
     rows = rows.repartitionByRange("stem", "pt", "ord").sortWithinPartitions("stem", "pt", "ord")
-    found = written(rows.mapInPandas(_turns, _TURN), "turns")
+    found = written(rows.mapInArrow(_turns, _TURN), "turns")
     # at most three turns a task: the number of tasks bounds what comes together here
     edges = found.where("edge").coalesce(1).sortWithinPartitions("stem", "pt", "first_ord").mapInPandas(_joined, _TURN)
     return found.where("not edge").unionByName(edges).drop("edge", "task", "k")
