@@ -266,7 +266,7 @@ def likely_pairs(forms: DataFrame) -> DataFrame:
     fam = forms.groupBy("block", "kind", "family").agg(F.sum("n").alias("n"))
     spread = fam.groupBy("kind", "family").agg(F.sum("n").alias("all"))
     fam = cut(fam.join(spread, ["kind", "family"]))
-    keyed = fam.withColumn("band", F.explode(_bands(F.concat_ws("|", "block", "kind"), "family")))
+    keyed = written(fam.withColumn("band", F.explode(_bands(F.concat_ws("|", "block", "kind"), "family"))), "bands")
     x = keyed.select("band", "block", "kind", F.col("family").alias("fa"), F.col("all").alias("na"), F.col("n").alias("ma"))
     y = keyed.select("band", F.col("block").alias("bb"), F.col("kind").alias("kb"), F.col("family").alias("fb"), F.col("all").alias("nb"), F.col("n").alias("mb"))
     met = x.join(y, "band").where("block = bb and kind = kb and fa < fb").select("block", "kind", "fa", "fb", "na", "nb", "ma", "mb").distinct()
