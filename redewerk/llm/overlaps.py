@@ -24,9 +24,14 @@ from ._common import ROLE_USER, content_of, cut, folded, part_count, read, stem_
 #: Words in a larger share of the transcripts are left out of the n-grams. As a transcript
 #: holds at most its length of words, there are at most (mean length / share) such words.
 COMMON_SHARE = 0.1
+#: Shorter words, such as hesitations, are no anchors either; numbers are.
+RARE_LETTERS = 5
 #: A class with fewer rare words also gives its smallest hashes of five common words.
 FEW_RARE = 8
-SKETCH = 12
+SKETCH = 32
+#: Share of the smaller side's anchors that a candidate must have in common, where it has more than a few. A fifth of the words edited
+#: at random leaves about half of them.
+CONTAINED = 0.2
 
 
 def transcript(messages: Column) -> Column:
@@ -74,7 +79,7 @@ def _h(words: tuple[str, ...]) -> int:
 
 def anchors(words: list[str], common: frozenset[str]) -> set[int]:
     """Hashes of rare-word triples with up to one word skipped, and for texts of few rare words a sketch of all five-grams."""
-    rare = [w for w in words if w not in common]
+    rare = [w for w in words if w not in common and (len(w) >= RARE_LETTERS or w.isdigit())]
     out: set[int] = set()
     for i in range(len(rare) - 2):
         a = rare[i : i + 4]
@@ -123,12 +128,17 @@ def class_pairs(sides: DataFrame) -> tuple[DataFrame, DataFrame]:
     def grams(s: pd.Series) -> pd.Series:
         return s.map(lambda x: np.fromiter(anchors(x.split(" "), common.value), dtype=np.int64))
 
-    g = classes.select("cls", "t", "e", F.length("words").alias("chars"), F.size(F.split("words", " ")).alias("n"), grams("words").alias("gs"))
-    g = written(g.withColumn("gram", F.explode("gs")).drop("gs"), "grams")
-    ev = g.where("e").select("gram", F.col("cls").alias("a"), F.col("n").alias("na"))
-    tr = g.where("t").select("gram", F.col("cls").alias("b"), F.col("n").alias("nb"))
-    near = (F.col("na") >= 0.8 * F.col("nb")) & (F.col("nb") >= 0.8 * F.col("na")) & (F.col("a") != F.col("b"))
-    cand = ev.join(tr, "gram").where(near).select("a", "b").distinct()
+    g = classes.select("cls", "t", "e", F.size(F.split("words", " ")).alias("n"), grams("words").alias("gs"))
+    g = written(g.select(F.xxhash64("cls").alias("id"), "t", "e", "n", F.size("gs").alias("k"), F.explode("gs").alias("gram")), "grams")
+    ev = g.where("e").select("gram", F.col("id").alias("ia"), F.col("n").alias("na"), F.col("k").alias("ka"))
+    tr = g.where("t").select("gram", F.col("id").alias("ib"), F.col("n").alias("nb"), F.col("k").alias("kb"))
+    near = (F.col("na") >= 0.8 * F.col("nb")) & (F.col("nb") >= 0.8 * F.col("na")) & (F.col("ia") != F.col("ib"))
+    met = ev.join(tr, "gram").where(near).groupBy("ia", "ib", F.least("ka", "kb").alias("k")).agg(F.count("*").alias("shared"))
+    ids = classes.select(F.xxhash64("cls").alias("id"), "cls")
+    ca, cb = (ids.select(F.col("id").alias(f"i{x}"), F.col("cls").alias(x)) for x in "ab")
+    # a containment that all pairs of the wanted agreement reach but for edits aimed at the rare words
+    least = F.when(F.col("k") > FEW_RARE + SKETCH, CONTAINED * F.col("k")).otherwise(F.lit(1.0))
+    cand = met.where(F.col("shared") >= least).select("ia", "ib").join(ca, "ia").join(cb, "ib").select("a", "b")
     ta, tb = (classes.select(F.col("cls").alias(x), F.col("words").alias(f"w{x}")) for x in "ab")
     both = cand.join(ta, "a").join(tb, "b").repartition(4 * part_count(sides))
     return members, cut(both.where(_agree("wa", "wb")).select("a", "b"))
