@@ -18,6 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from ._common import ROLE_USER, content_of, cut, folded, part_count, read, stem_key, written
 
@@ -26,10 +27,10 @@ from ._common import ROLE_USER, content_of, cut, folded, part_count, read, stem_
 COMMON_SHARE = 0.1
 #: Shorter words, such as hesitations, are no anchors either; numbers are.
 RARE_LETTERS = 5
-#: A class with fewer rare words also gives its smallest hashes of five common words.
-FEW_RARE = 8
-SKETCH = 32
-#: Share of the smaller side's anchors that a candidate must have in common, where it has more than a few. A fifth of the words edited
+#: A class with fewer rare words (as in a group of near copies so large that its words are common) also gives
+#: its SKETCH rarest runs of five words, and a single anchor in common suffices.
+FEW_RARE, SKETCH = 8, 32
+#: Share of the smaller side's anchors that a candidate must have in common. A fifth of the words edited
 #: at random leaves about half of them.
 CONTAINED = 0.2
 
@@ -77,8 +78,8 @@ def _h(words: tuple[str, ...]) -> int:
     return xxhash.xxh3_64_intdigest("\x1f".join(words)) - (1 << 63)
 
 
-def anchors(words: list[str], common: frozenset[str]) -> set[int]:
-    """Hashes of rare-word triples with up to one word skipped, and for texts of few rare words a sketch of all five-grams."""
+def anchors(words: list[str], common: frozenset[str]) -> tuple[set[int], set[int]]:
+    """Hashes of rare-word triples with up to one word skipped; and of a text of few rare words those of all runs of five words."""
     rare = [w for w in words if w not in common and (len(w) >= RARE_LETTERS or w.isdigit())]
     out: set[int] = set()
     for i in range(len(rare) - 2):
@@ -87,10 +88,7 @@ def anchors(words: list[str], common: frozenset[str]) -> set[int]:
         if len(a) == 4:
             out.add(_h((a[0], a[1], a[3])))
             out.add(_h((a[0], a[2], a[3])))
-    if len(rare) < FEW_RARE:
-        five = {_h(("", *words[i : i + 5])) for i in range(max(1, len(words) - 4))}
-        out.update(sorted(five)[:SKETCH])
-    return out
+    return out, {_h(("", *words[i : i + 5])) for i in range(max(1, len(words) - 4))} if len(rare) < FEW_RARE else set()
 
 
 def agreement_reached(a: list[str], b: list[str]) -> bool:
@@ -124,12 +122,24 @@ def class_pairs(sides: DataFrame) -> tuple[DataFrame, DataFrame]:
     classes = written(classes, "classes")
     common = sides.sparkSession.sparkContext.broadcast(frozenset(common_words(texts.select("words"))))
 
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def grams(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: np.fromiter(anchors(x.split(" "), common.value), dtype=np.int64))
-
-    g = classes.select("cls", "t", "e", F.size(F.split("words", " ")).alias("n"), grams("words").alias("gs"))
-    g = written(g.select(F.xxhash64("cls").alias("id"), "t", "e", "n", F.size("gs").alias("k"), F.explode("gs").alias("gram")), "grams")
+    longs = T.ArrayType(T.LongType())
+
+    @F.pandas_udf(T.StructType([T.StructField("grams", longs), T.StructField("fives", longs)]))
+    def grams(s: pd.Series) -> pd.DataFrame:
+        found = [anchors(x.split(" "), common.value) for x in s]
+        return pd.DataFrame({c: [np.fromiter(f[k], dtype=np.int64) for f in found] for k, c in enumerate(("grams", "fives"))})
+
+    g = classes.select(F.xxhash64("cls").alias("id"), "t", "e", F.size(F.split("words", " ")).alias("n"), grams("words").alias("g")).select("id", "t", "e", "n", "g.*")
+    # a text of few rare words needs a single anchor in common, another a share of them
+    few = F.size("fives") > 0
+    g = written(g.withColumn("k", F.when(few, 1.0).otherwise(F.greatest(F.lit(1.0), CONTAINED * F.size("grams")))), "grams")
+    cols = ["id", "t", "e", "n", "k"]
+    five = g.where(few).select(*cols, F.explode("fives").alias("gram"))
+    # of the runs of five words that some other such text has, the rarest: cheap to join, and the same in near copies
+    seen = five.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")
+    rank = F.row_number().over(W.partitionBy("id").orderBy("df", "gram"))
+    five = five.join(seen, "gram").withColumn("rank", rank).where(F.col("rank") <= SKETCH).select(*cols, "gram")
+    g = written(g.select(*cols, F.explode("grams").alias("gram")).unionByName(five), "anchors")
     ev = g.where("e").select("gram", F.col("id").alias("ia"), F.col("n").alias("na"), F.col("k").alias("ka"))
     tr = g.where("t").select("gram", F.col("id").alias("ib"), F.col("n").alias("nb"), F.col("k").alias("kb"))
     near = (F.col("na") >= 0.8 * F.col("nb")) & (F.col("nb") >= 0.8 * F.col("na")) & (F.col("ia") != F.col("ib"))
@@ -137,8 +147,7 @@ def class_pairs(sides: DataFrame) -> tuple[DataFrame, DataFrame]:
     ids = classes.select(F.xxhash64("cls").alias("id"), "cls")
     ca, cb = (ids.select(F.col("id").alias(f"i{x}"), F.col("cls").alias(x)) for x in "ab")
     # a containment that all pairs of the wanted agreement reach but for edits aimed at the rare words
-    least = F.when(F.col("k") > FEW_RARE + SKETCH, CONTAINED * F.col("k")).otherwise(F.lit(1.0))
-    cand = met.where(F.col("shared") >= least).select("ia", "ib").join(ca, "ia").join(cb, "ib").select("a", "b")
+    cand = met.where(F.col("shared") >= F.col("k")).select("ia", "ib").join(ca, "ia").join(cb, "ib").select("a", "b")
     ta, tb = (classes.select(F.col("cls").alias(x), F.col("words").alias(f"w{x}")) for x in "ab")
     both = cand.join(ta, "a").join(tb, "b").repartition(4 * part_count(sides))
     return members, cut(both.where(_agree("wa", "wb")).select("a", "b"))
