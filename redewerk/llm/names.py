@@ -138,8 +138,12 @@ def parsed(name: str | None) -> tuple | None:
     return ("p", first, " ".join(family).strip(".:"), fold(party), swappable)
 
 
+_FULL = {fold(k): set(fold(v).split()) for k, v in NICKNAMES.items()}
+
+
 def full_names(given: str) -> set[str]:
-    return set(NICKNAMES.get(given, given).split())
+    """The folded full names a folded given name may stand for."""
+    return _FULL.get(given, {given})
 
 
 def winkler(a: str, b: str) -> float:
@@ -250,7 +254,7 @@ def forms_of(attendance: DataFrame) -> tuple[DataFrame, DataFrame]:
     lean = cut(two.unionByName(sure).groupBy("x.w").agg(F.sum("x.v").alias("lean")))
     a, b = (lean.select(F.col("w").alias(k), F.col("lean").alias(f"{k}_lean")) for k in ("given", "family"))
     names = names.join(a, "given", "left").join(b, "family", "left")
-    turn = F.col("swappable") & (F.col("given_lean") > 0) & (F.col("family_lean") < F.col("given_lean"))
+    turn = F.col("swappable") & (F.col("given_lean") - F.col("family_lean") >= 3)
     names = names.select("full_name", "kind", F.when(turn, F.col("family")).otherwise(F.col("given")).alias("given"), F.when(turn, F.col("given")).otherwise(F.col("family")).alias("family"), "party")
     role = F.regexp_replace("role", r"[\s\-]*fraktion$", "")
     role = F.when(~F.coalesce(role, F.lit("")).rlike("^(" + "|".join(OFFICES) + ")"), role)

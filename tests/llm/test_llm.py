@@ -162,6 +162,12 @@ def test_names(spark):
     assert names.linked(d.limit(0)).count() == 0
 
 
+def test_given_names():
+    assert names.given_likeness("josi", names.fold("Josephine")) == 1.0 and names.given_likeness("fine", "josi") == 1.0
+    assert names.given_likeness("m.", "margarete") > 0 and names.given_likeness("jos.", "johannes") == 0.0 and names.given_likeness("theodor", "theoor") > 0.9
+    assert names.parsed("Sandmeißner, H.")[1:3] == ("h.", "sandmeissner") and names.parsed("Dr.Abgeordnete(r) Bornfuß (NDL)")[1:4] == ("", "bornfuss", "ndl")
+
+
 def test_bands_recall():
     rnd = random.Random(2)
     met = n = 0
