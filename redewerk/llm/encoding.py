@@ -161,7 +161,8 @@ def learned(texts: DataFrame) -> tuple[dict[str, str], dict[str, str], dict[Chai
     best = types.where(~F.col("token").contains("?") & ~F.col("token").contains(LOST)).groupBy("skeleton").agg(F.max_by("token", F.struct("n", "token")).alias("clean"), F.max("n").alias("most"))
     pairs = types.join(best, "skeleton").where(F.col("token") != F.col("clean")).where(F.col("n") * RARITY <= F.col("most"))
     step = pairs.select("skeleton", F.explode(_aligned("token", "clean")).alias("x")).groupBy("x.bad", "x.good").agg(F.count_distinct("skeleton").alias("words"))
-    step = step.where(F.col("words") >= SUPPORT)
+    # longer runs are several characters in a row and are taken apart when they are mended
+    step = step.where((F.col("words") >= SUPPORT) & (F.length("bad") <= 16) & (F.length("good") <= 3))
     rightly = best.select("skeleton", F.explode(_runs("clean")).alias("bad")).groupBy("bad").agg(F.count("*").alias("right"))
     step = step.join(rightly, "bad", "left").orderBy(F.col("words").desc(), "bad", "good")
     replace: dict[str, str] = {}
