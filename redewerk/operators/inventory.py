@@ -135,8 +135,8 @@ def positions(rows: DataFrame, order: list[str]) -> DataFrame:
     """Adds ``position`` (from 0) in order. Range partitions count on their own; only their sizes pass through the driver."""
     spark = rows.sparkSession
     line = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
-    # kept, so that both passes see the same ranges
-    line = line.persist()
+    # kept, so that both passes see the same ranges: in the shared folder where the session names one
+    line = line.checkpoint() if spark.sparkContext.getCheckpointDir() else line.persist()
     at, before = 0, []
     for r in line.groupBy("_p").count().orderBy("_p").collect():
         before.append((r["_p"], at))
