@@ -32,7 +32,8 @@ USUAL = 20
 LOST = "�"
 
 _NON_ASCII = re.compile(r"[^\x00-\x7f]+")
-_TOKEN = re.compile(r"\S+")
+# ASCII blanks only: other blanks may be bytes of a garbled character
+_TOKEN = re.compile(r"[^ \t\n\r\f\v]+")
 _EDGE = "\"'.,;:!()[]{}<>/*_-`~#$%&+=|\\"
 
 
@@ -129,7 +130,7 @@ def _tokens(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in parts:
         n: Counter[str] = Counter()
         for t in pdf["text"]:
-            n.update(x for w in t.split() if (x := core(w)) and notable(x))
+            n.update(x for w in _TOKEN.findall(t) if (x := core(w)) and notable(x))
         yield pd.DataFrame(list(n.items()), columns=["token", "n"])
 
 
@@ -191,19 +192,25 @@ class Mender:
         self.replace, self.doubtful, self.lost = replace, doubtful, set(lost)
         self.by_bad: dict[str, list[Chain]] = {}
         self.rank = chains
-        self.letters = {c for g in replace.values() for c in g} | set(usual)
+        self.letters = ({c for g in replace.values() for c in g} | set(usual)) - {chr(c) for c in range(0x80, 0xA0)}
         for b, g in replace.items():
             self.by_bad[b] = [c for c in explaining(b, g) if c in chains]
         longest = sorted(replace, key=len, reverse=True)
         self.pattern = re.compile("|".join(map(re.escape, longest))) if longest else None
 
-    def run(self, run: str, chain: Chain | None) -> str | None:
-        """A run of non-ASCII characters as it was before, or None if it isn't known to be garbled."""
+    def run(self, run: str, chain: Chain | None, sure: bool) -> str | None:
+        """A run of non-ASCII characters as it was before, or None if it isn't known to be garbled.
+
+        Characters that are also written rightly are touched only in a word that is garbled for sure:
+        documents are often garbled in part.
+        """
         if run in self.replace:
             return self.replace[run]
+        if not sure and set(run) <= self.letters:
+            return None
         if run in self.doubtful:
             good = self.doubtful[run]
-            return good if chain is not None and garble(good, chain) == run else None
+            return good if sure and chain is not None and garble(good, chain) == run else None
         if chain is not None:
             back = ungarble(run, chain)
             if back is not None and back != run and LOST not in back and set(back) <= self.letters:
@@ -232,17 +239,25 @@ class Mender:
         chain = max(votes, key=lambda c: (votes[c], self.rank.get(c, 0), c)) if votes else None
         made = 0
 
-        def mend(m: re.Match) -> str:
+        def mend(word: re.Match) -> str:
             nonlocal made
-            back = self.run(m[0], chain)
-            if back is None:
-                return m[0]
-            made += 1
-            return back
+            if word[0].isascii():
+                return word[0]
+            sure = any(r in self.replace for r in _NON_ASCII.findall(word[0]))
+
+            def one(m: re.Match) -> str:
+                nonlocal made
+                back = self.run(m[0], chain, sure)
+                if back is None:
+                    return m[0]
+                made += 1
+                return back
+
+            return _NON_ASCII.sub(one, word[0])
 
-        out = _NON_ASCII.sub(mend, text) if words else text
+        out = _TOKEN.sub(mend, text) if words else text
         gone = out.count(LOST)
-        for w in text.split():
+        for w in _TOKEN.findall(text):
             x = core(w)
             if "?" in x and re.search(r"[^\W\d_]\?[a-zäöüßąćęłńóśźż]|(?<![\w?])\?[a-zäöüßąćęłńóśźż]{2}", x) and "?" in self.lost:
                 gone += len(re.findall(r"\?(?=[^\W\d_])", x))
