@@ -1,16 +1,18 @@
 """Problem 2: the same or almost the same transcript in train and in another split.
 
 Transcripts are folded to words. Equal word sequences form a class; only one of each
-class is compared. Words found in more than a tenth of all transcripts tell nothing
-apart and are left out of the n-grams; hashes of triples of the words that remain (one word
-may be skipped) of the evaluation side meet those of the training side in a partitioned
-join. Every pair that shares one is verified on the whole texts: first the bag of words,
-then the longest common subsequence, must reach four fifths of the longer transcript.
+class is compared. Two texts whose longest common subsequence reaches four fifths of the
+longer one have as many words in common, so they share a known number of the rarest ones
+(prefix filter); this holds for any edits and any group of copies. Texts of fitting length
+meet in blocks; every pair that shares so many is verified on the whole texts: first the bag
+of words, then the longest common subsequence, must reach four fifths of the longer transcript.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -18,21 +20,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window as W
 
 from ._common import ROLE_USER, content_of, cut, folded, part_count, read, stem_key, written
 
-#: Words in a larger share of the transcripts are left out of the n-grams. As a transcript
-#: holds at most its length of words, there are at most (mean length / share) such words.
-COMMON_SHARE = 0.1
-#: Shorter words, such as hesitations, are no anchors either; numbers are.
-RARE_LETTERS = 5
-#: A class with fewer rare words (as in a group of near copies so large that its words are common) also gives
-#: its SKETCH rarest runs of five words, and a single anchor in common suffices.
-FEW_RARE, SKETCH = 8, 32
-#: Share of the smaller side's anchors that a candidate must have in common. A fifth of the words edited
-#: at random leaves about half of them.
-CONTAINED = 0.2
+#: Words are ordered by the number of texts that hold them if this is a larger share of all texts. As a transcript
+#: holds at most its length of words, there are at most (mean length / share) such words. Others come first.
+RANKED_SHARE = 0.001
+#: Texts of a block. Each block of one side meets those of the other side with a length that can agree.
+BLOCK = 2000
 
 
 def transcript(messages: Column) -> Column:
@@ -67,35 +62,38 @@ def splits_of(records: DataFrame, manifest: DataFrame) -> DataFrame:
     return r.select("rec_id", F.when(F.col("rank") == 1, "test").when(F.col("rank") == 2, "validation").when(F.col("rank") == 3, "train").otherwise(F.col("own")).alias("split"), "source", "words")
 
 
-def common_words(texts: DataFrame) -> list[str]:
-    """Words in more than COMMON_SHARE of the texts, counted over all of them."""
-    n = texts.count()
-    words = texts.select(F.explode(F.array_distinct(F.split("words", " "))).alias("w"))
-    return [r["w"] for r in words.groupBy("w").count().where(F.col("count") > COMMON_SHARE * n).select("w").collect()]
+def need(n: int) -> int:
+    """Words that a text agreeing with one of ``n`` words has in common with it, at least."""
+    return -(-4 * n // 5)
 
 
-def _h(words: tuple[str, ...]) -> int:
-    return xxhash.xxh3_64_intdigest("\x1f".join(words)) - (1 << 63)
+def ranks(texts: DataFrame) -> dict[tuple[str, int], int]:
+    """How many texts hold a word for the k-th time, by (word, k), where these are more than RANKED_SHARE of the texts."""
 
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        times = Counter(x for b in batches for s in b["words"] for x in Counter(s.split(" ")).items())
+        yield pd.DataFrame([(w, k, n) for (w, k), n in times.items()], columns=["w", "times", "n"])
 
-def anchors(words: list[str], common: frozenset[str]) -> tuple[set[int], set[int]]:
-    """Hashes of rare-word triples with up to one word skipped; and of a text of few rare words those of all runs of five words."""
-    rare = [w for w in words if w not in common and (len(w) >= RARE_LETTERS or w.isdigit())]
-    out: set[int] = set()
-    for i in range(len(rare) - 2):
-        a = rare[i : i + 4]
-        out.add(_h((a[0], a[1], a[2])))
-        if len(a) == 4:
-            out.add(_h((a[0], a[1], a[3])))
-            out.add(_h((a[0], a[2], a[3])))
-    return out, {_h(("", *words[i : i + 5])) for i in range(max(1, len(words) - 4))} if len(rare) < FEW_RARE else set()
+    c = texts.select("words").mapInPandas(counted, "w string, times int, n bigint").groupBy("w", "times").agg(F.sum("n").alias("n"))
+    c = c.select("w", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("k"), "n").groupBy("w", "k").agg(F.sum("n").alias("n"))
+    return {(r["w"], r["k"]): r["n"] for r in c.where(F.col("n") > RANKED_SHARE * texts.count()).collect()}
+
+
+def prefix(words: list[str], rank: dict[tuple[str, int], int]) -> list[int]:
+    """Hashes of the rarest words, the k-th standing of a word as a word of its own.
+
+    If all but ``n - need(n)`` words are shared, then at least l of the first ``n - need(n) + l`` are; l is ``n // 5``.
+    """
+    n = len(words)
+    own = sorted((rank.get((w, k), 0), w, k) for w, m in Counter(words).items() for k in range(1, m + 1))
+    return [xxhash.xxh3_64_intdigest(f"{w}\x1f{k}") - (1 << 63) for _, w, k in own[: n - need(n) + n // 5]]
 
 
 def agreement_reached(a: list[str], b: list[str]) -> bool:
     """Whether the longest common subsequence reaches four fifths of the longer list."""
     longer = max(len(a), len(b))
-    need = -(-4 * longer // 5)
-    if min(len(a), len(b)) < need or sum((Counter(a) & Counter(b)).values()) < need:
+    least = need(longer)
+    if min(len(a), len(b)) < least or sum((Counter(a) & Counter(b)).values()) < least:
         return False
     at: dict[str, int] = defaultdict(int)
     for j, w in enumerate(b):
@@ -105,52 +103,61 @@ def agreement_reached(a: list[str], b: list[str]) -> bool:
     for w in a:
         u = v & at.get(w, 0)
         v = ((v + u) | (v - u)) & full
-    return len(b) - v.bit_count() >= need
-
-
-@F.pandas_udf(T.BooleanType())
-def _agree(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([agreement_reached(x.split(" "), y.split(" ")) for x, y in zip(a, b)], dtype=bool)
+    return len(b) - v.bit_count() >= least
+
+
+def block_pairs(both: pd.DataFrame) -> pd.DataFrame:
+    """(a, b): classes of two blocks (one with ``ev``, one without) that agree."""
+    ev, tr = both[both["ev"]], both[~both["ev"]]
+    of: dict[int, list[int]] = defaultdict(list)
+    texts = [w.split(" ") for w in tr["words"]]
+    for j, p in enumerate(tr["prefix"]):
+        for h in p:
+            of[h].append(j)
+    posts = {h: np.array(x, dtype=np.int32) for h, x in of.items()}
+    n = np.array([len(x) for x in texts])
+    cls, out = tr["cls"].to_numpy(), []
+    for a, words, p in zip(ev["cls"], ev["words"], ev["prefix"]):
+        hit = [posts[h] for h in p if h in posts]
+        x = words.split(" ")
+        m = len(x)
+        # very short texts need not share any of the rarest
+        shared = np.bincount(np.concatenate(hit), minlength=len(n)) if hit else np.zeros(len(n), dtype=int)
+        fit = (shared >= np.minimum(m, n) // 5) & (5 * m >= 4 * n) & (5 * n >= 4 * m) & (cls != a)
+        out += [(a, cls[j]) for j in np.flatnonzero(fit) if agreement_reached(x, texts[j])]
+    return pd.DataFrame(out, columns=["a", "b"], dtype=object)
 
 
 def class_pairs(sides: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(member table rec_id, cls, in_train), (class pairs a, b with a < b that agree, each of which may be met in both directions)."""
+    """(member table rec_id, cls, in_train), (pairs of a class a not only of train and a class b of train that agree, each of which may be met in both directions)."""
     texts = sides.where("words <> ''").withColumn("cls", F.md5("words")).withColumn("in_train", F.coalesce(F.col("split") == "train", F.lit(False)))
     texts = written(texts, "transcripts")
     members = texts.select("rec_id", "cls", "in_train", "split", "source")
     classes = texts.groupBy("cls").agg(F.max("in_train").alias("t"), F.max(~F.col("in_train")).alias("e"), F.first("words").alias("words"))
     classes = written(classes, "classes")
-    common = sides.sparkSession.sparkContext.broadcast(frozenset(common_words(texts.select("words"))))
-
-    longs = T.ArrayType(T.LongType())
-
-    @F.pandas_udf(T.StructType([T.StructField("grams", longs), T.StructField("fives", longs)]))
-    def grams(s: pd.Series) -> pd.DataFrame:
-        found = [anchors(x.split(" "), common.value) for x in s]
-        return pd.DataFrame({c: [np.fromiter(f[k], dtype=np.int64) for f in found] for k, c in enumerate(("grams", "fives"))})
-
-    g = classes.select(F.xxhash64("cls").alias("id"), "t", "e", F.size(F.split("words", " ")).alias("n"), grams("words").alias("g")).select("id", "t", "e", "n", "g.*")
-    # a text of few rare words needs a single anchor in common, another a share of them
-    few = F.size("fives") > 0
-    g = written(g.withColumn("k", F.when(few, 1.0).otherwise(F.greatest(F.lit(1.0), CONTAINED * F.size("grams")))), "grams")
-    cols = ["id", "t", "e", "n", "k"]
-    five = g.where(few).select(*cols, F.explode("fives").alias("gram"))
-    # of the runs of five words that some other such text has, the rarest: cheap to join, and the same in near copies
-    seen = five.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")
-    rank = F.row_number().over(W.partitionBy("id").orderBy("df", "gram"))
-    five = five.join(seen, "gram").withColumn("rank", rank).where(F.col("rank") <= SKETCH).select(*cols, "gram")
-    g = written(g.select(*cols, F.explode("grams").alias("gram")).unionByName(five), "anchors")
-    ev = g.where("e").select("gram", F.col("id").alias("ia"), F.col("n").alias("na"), F.col("k").alias("ka"))
-    tr = g.where("t").select("gram", F.col("id").alias("ib"), F.col("n").alias("nb"), F.col("k").alias("kb"))
-    near = (F.col("na") >= 0.8 * F.col("nb")) & (F.col("nb") >= 0.8 * F.col("na")) & (F.col("ia") != F.col("ib"))
-    met = ev.join(tr, "gram").where(near).groupBy("ia", "ib", F.least("ka", "kb").alias("k")).agg(F.count("*").alias("shared"))
-    ids = classes.select(F.xxhash64("cls").alias("id"), "cls")
-    ca, cb = (ids.select(F.col("id").alias(f"i{x}"), F.col("cls").alias(x)) for x in "ab")
-    # a containment that all pairs of the wanted agreement reach but for edits aimed at the rare words
-    cand = met.where(F.col("shared") >= F.col("k")).select("ia", "ib").join(ca, "ia").join(cb, "ib").select("a", "b")
-    ta, tb = (classes.select(F.col("cls").alias(x), F.col("words").alias(f"w{x}")) for x in "ab")
-    both = cand.join(ta, "a").join(tb, "b").repartition(4 * part_count(sides))
-    return members, cut(both.where(_agree("wa", "wb")).select("a", "b"))
+    rank = sides.sparkSession.sparkContext.broadcast(ranks(classes))
+
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def prefixes(s: pd.Series) -> pd.Series:
+        return pd.Series([np.array(prefix(x.split(" "), rank.value), dtype=np.int64) for x in s], dtype=object)
+
+    # texts that agree are of the same band of lengths or of neighbouring ones
+    band = F.floor(F.log(F.size(F.split("words", " ")).cast("double")) / math.log(1.2500001)).cast("int")
+    g = written(classes.select("cls", "t", "e", "words", band.alias("band"), prefixes("words").alias("prefix")), "prefixes")
+    size = g.groupBy("band").agg(F.sum(F.col("e").cast("int")).alias("ne"), F.sum(F.col("t").cast("int")).alias("nt")).collect()
+    meet = [
+        (e["band"], i, -(-e["ne"] // BLOCK), t["band"], j, -(-t["nt"] // BLOCK))
+        for e in size for t in size if abs(e["band"] - t["band"]) <= 1
+        for i in range(-(-e["ne"] // BLOCK)) for j in range(-(-t["nt"] // BLOCK))
+    ]
+    blocks = [(k, *x) for k, x in enumerate(meet)]
+    at = sides.sparkSession.createDataFrame(blocks, "block int, eb int, ei int, en int, tb int, ti int, tn int")
+    sort = F.abs(F.xxhash64("cls") % F.lit(1 << 30))
+    side = lambda ev: ["block", "cls", "words", "prefix", F.lit(ev).alias("ev")]
+    ev = g.where("e").join(F.broadcast(at), (F.col("band") == F.col("eb")) & (sort % F.col("en") == F.col("ei"))).select(*side(True))
+    tr = g.where("t").join(F.broadcast(at), (F.col("band") == F.col("tb")) & (sort % F.col("tn") == F.col("ti"))).select(*side(False))
+    parts = max(1, min(len(blocks), 4 * part_count(sides)))
+    return members, cut(ev.unionByName(tr).repartition(parts, "block").groupBy("block").applyInPandas(block_pairs, "a string, b string"))
 
 
 def overlaps(sides: DataFrame) -> DataFrame:

@@ -144,6 +144,22 @@ def test_agreement():
     assert not overlaps.agreement_reached(a, list(reversed(a)))
 
 
+@pytest.mark.parametrize("edits", [0.08, 0.15])
+def test_overlaps_in_large_group_of_copies(spark, edits):
+    rnd = random.Random(20)
+    vocab = [f"wort{i}" for i in range(3000)]
+    base = [rnd.choice(vocab) for _ in range(100)]
+    texts = [[rnd.choice(vocab) if rnd.random() < rnd.uniform(0.08, edits) else w for w in base] for _ in range(60)]
+    # every fifth word of a copy edited leaves no run of five words
+    texts += [[f"neu{i}" if i % 5 == 2 else w for i, w in enumerate(base)], base]
+    texts += [[rnd.choice(vocab) for _ in range(100)] for _ in range(124)]
+    rows = [record(i, user=" ".join(t), split="val" if i % 4 == 0 or i == 61 else "train") for i, t in enumerate(texts)]
+    side = {r[0]: r[3] == "train" for r in rows}
+    want = {(a, b) for a in range(186) for b in range(a + 1, 186) if side[a] != side[b] and overlaps.agreement_reached(texts[a], texts[b])}
+    got = overlaps.overlaps(overlaps.splits_of(frame(spark, rows), frame(spark, [], MAN))).collect()
+    assert {tuple(sorted((r["eval_rec"], r["train_rec"]))) for r in got} == want and (60, 61) not in got and len(want) > 50
+
+
 # ------------------------------------------------------------------ 3
 def test_names(spark):
     m = [
