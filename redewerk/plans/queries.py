@@ -804,7 +804,7 @@ def token_count_provider(t):
 
 @query("stem:s summary:s")
 def summarise_stub(t):
-    s = segments(t).where("pt = 1 and text is not null").groupBy("stem").agg(F.array_sort(F.collect_list(F.struct("ord", "text"))).alias("x"))
+    s = segments(t).where("text is not null").groupBy("stem").agg(F.array_sort(F.collect_list(F.struct("pt", "ord", "text"))).alias("x"))
     s = s.select("stem", F.lit(1).alias("top"), F.lit("Beratung").alias("title"), F.array_join(F.transform("x", lambda x: x["text"]), " ").alias("text"))
     return providers.summarised(s, "System")
 
