@@ -2,7 +2,8 @@
 
 Copies show in the size of the response compressed with its prompt as zstandard
 dictionary; empty answers, refusals and foreign languages by dictionaries; truncation by a
-model of terminal contexts: how often, over all responses, a last word is the end of one.
+model of terminal contexts: how often, over all different responses, a last word is the end of one,
+responses that come to the same end (near copies) counting once.
 """
 
 from __future__ import annotations
@@ -23,13 +24,18 @@ COPY_AT = 0.4
 #: Fewer bytes tell nothing about copying.
 LEAST_BYTES = 60
 #: To be a terminal, a last word must end a response in this share of its occurrences, so many times,
-#: and end this share of all responses (so there are at most 1 / OF_ALL terminals).
+#: and end this share of all different responses (so there are at most 1 / OF_ALL terminals).
 TERMINAL_SHARE, TERMINAL_TIMES, OF_ALL = 0.3, 3, 0.005
+#: Words before the last one that tell near copies: a word in COPY_SHARE of the responses with the same last word
+#: is of their common text, and a response of which these make up COPY_SHARE is one of the copies.
+BEFORE, COPY_SHARE = 40, 0.5
 #: Words of a response without headings in which a refusal is looked for.
 REFUSAL_WORDS = 80
 
 # --- fixed values: what stands for an empty answer (folded) ---------------------------
 STANDINS = {"leer", "kein text", "keine angabe", "k a", "n a", "na", "entfällt", "none", "null", "empty", "no text", "tbd", "todo", "ohne inhalt", "brak", "geen"}
+# --- fixed values: offices that sign minutes ("gez. Schriftführung") --------------------
+SIGNED_BY = ["schriftführung", "schriftführer", "schriftführerin", "protokollführung", "protokollführer", "protokollführerin", "vorsitz", "vorsitzender", "vorsitzende"]
 # --- fixed values: ways to decline -----------------------------------------------
 REFUSALS = [
     r"\bich (kann|möchte|darf|werde|muss) .{0,60}\b(nicht|keine?n?|ablehnen)\b", r"\bkann ich .{0,30}\b(nicht|keine?n?)\b", r"\bdarf ich .{0,30}\b(nicht|keine?n?)\b", r"\bich bin nicht in der lage\b",
@@ -51,6 +57,7 @@ for _lang, _ws in FUNCTION_WORDS.items():
     for _w in _ws:
         _OF_WORD.setdefault(_w, set()).add(_lang)
 _REFUSAL = re.compile("|".join(REFUSALS))
+_SIGNED = re.compile(rf"\n\s*gez\.\s+({'|'.join(SIGNED_BY)})\s*$")
 _HEADING = re.compile(r"(?m)^\s*#{1,6}\s.*$")
 
 
@@ -115,7 +122,25 @@ def defect(response: str | None, prompt: str | None, terminals: frozenset[str])
         return "refusal"
     if language(response) not in ("de", None):
         return "language"
-    return None if ends_well(last_word(response), terminals) else "truncated"
+    return None if _SIGNED.search(response.lower()) or ends_well(last_word(response), terminals) else "truncated"
+
+
+def terminals_of(pairs: DataFrame) -> frozenset[str]:
+    """The terminals of (response, last), each different response counted once and a group of near copies once."""
+    d = pairs.where("response is not null").groupBy(F.md5("response").alias("id")).agg(F.first("response").alias("response"), F.first("last").alias("last"))
+    words = F.split(F.regexp_replace(F.lower(F.regexp_replace("response", r"(?U)\s+$", "")), r"\d", "0"), r"(?U)\s+")
+    d = written(d.select("id", "last", words.alias("ws")), "responses")
+    # only words that are the last of some response are asked for
+    ends = d.groupBy("last").agg(F.count("*").alias("ends"))
+    seen = d.select(F.explode("ws").alias("last")).join(ends.select("last"), "last", "left_semi").groupBy("last").agg(F.count("*").alias("seen"))
+    least = max(TERMINAL_TIMES, OF_ALL * d.count())
+    model = F.broadcast(ends.join(seen, "last").where((F.col("ends") >= least) & (F.col("ends") >= TERMINAL_SHARE * F.col("seen"))).select("last", "ends"))
+    before = F.array_distinct(F.slice("ws", F.greatest(F.lit(1), F.size("ws") - BEFORE), F.least(F.lit(BEFORE), F.size("ws") - 1)))
+    w = written(d.join(model, "last").select("id", "last", "ends", F.explode_outer(before).alias("w")), "ends")
+    common = w.groupBy("last", "w", "ends").agg(F.count("*").alias("n")).where(F.col("n") >= COPY_SHARE * F.col("ends")).select("last", "w", F.lit(1).alias("same"))
+    copy = w.join(common, ["last", "w"], "left").groupBy("last", "id").agg((F.count("same") >= COPY_SHARE * F.count("*")).alias("copy"))
+    own = copy.groupBy("last").agg((F.count_if(~F.col("copy")) + F.max(F.col("copy").cast("int"))).alias("own"))
+    return frozenset(x["last"] for x in own.where(F.col("own") >= least).select("last").collect())
 
 
 def defects(records: DataFrame) -> DataFrame:
@@ -128,13 +153,7 @@ def defects(records: DataFrame) -> DataFrame:
     r = r.select("rec_id", content_of(F.col("messages"), ROLE_ASSISTANT).alias("response"), content_of(F.col("messages"), ROLE_USER).alias("prompt"))
     word = F.regexp_replace(F.lower(F.element_at(F.split(F.regexp_replace("response", r"(?U)\s+$", ""), r"(?U)\s+"), -1)), r"\d", "0")
     r = written(r.withColumn("last", F.coalesce(word, F.lit(""))), "pairs")
-    all_words = r.select(F.explode(F.split(F.regexp_replace(F.lower("response"), r"\d", "0"), r"(?U)\s+")).alias("last"))
-    # only words that are the last of some response are asked for
-    ends = r.groupBy("last").agg(F.count("*").alias("ends"))
-    seen = all_words.join(ends.select("last"), "last", "left_semi").groupBy("last").agg(F.count("*").alias("seen"))
-    least = max(TERMINAL_TIMES, OF_ALL * r.count())
-    model = ends.join(seen, "last").where((F.col("ends") >= least) & (F.col("ends") >= TERMINAL_SHARE * F.col("seen")))
-    terminals = r.sparkSession.sparkContext.broadcast(frozenset(x["last"] for x in model.select("last").collect()))
+    terminals = r.sparkSession.sparkContext.broadcast(terminals_of(r.select("response", "last")))
 
     @F.pandas_udf(T.StringType())
     def judged(response: pd.Series, prompt: pd.Series) -> pd.Series:

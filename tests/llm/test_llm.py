@@ -270,6 +270,18 @@ def test_defects(spark):
     assert got == {**{i: d for i, (_, d) in cases.items() if d}, 50: "empty"}
 
 
+def test_repeated_truncation_is_no_terminal(spark):
+    rnd = random.Random(21)
+    vocab = [f"wort{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(600)]
+    sentence = lambda n: " ".join(rnd.choice(vocab) for _ in range(n))
+    cut = f"{sentence(60)} und bittet um die Sanierungsarb"
+    near = [" ".join(rnd.choice(vocab) if rnd.random() < 0.1 else w for w in cut.split()[:-1]) + " Sanierungsarb" for _ in range(30)]
+    rows = [record(i, answer=cut) for i in range(20)] + [record(20 + i, answer=a) for i, a in enumerate(near)]
+    rows += [record(100 + i, answer=f"{sentence(50)}.\n\nAbschrift an Kämmerei") for i in range(30)] + [record(200 + i, answer=f"{sentence(50)}.") for i in range(60)]
+    got = {r["rec_id"]: r["defect"] for r in defects.defects(frame(spark, rows)).collect()}
+    assert got == {i: "truncated" for i in range(50)}
+
+
 # ------------------------------------------------------------------ 7
 SEG = "seg_id bigint, stem string, pt int, ord int, start_s double, end_s double, speaker string, label string, text string"
 
