@@ -4,8 +4,8 @@ Texts are cleaned of stamps, speaker labels, fillers and sounds; the speaker is
 or the number that a name goes with elsewhere in the same part. The segments are sorted
 over range partitions, so that one part of any length is spread over tasks; each task gives
 the turns within its range, and only the turns at the edges of ranges, a few a task, are put
-together at the end. Within a file segment the clock is repaired: resets are added up and
-the remaining disorder is levelled by isotonic regression.
+together at the end. Before that, the clock of each part is repaired, from its numbers alone and over
+the whole part: resets are added up and the remaining disorder is levelled by isotonic regression.
 """
 
 from __future__ import annotations
@@ -135,19 +135,52 @@ def isotonic(y: np.ndarray) -> np.ndarray:
     return np.repeat(mean, size)
 
 
-def clock(start: np.ndarray) -> np.ndarray:
-    """Start times with resets added up, gaps interpolated and disorder levelled. All unknown stays unknown."""
+def clock_and_shift(start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start times with resets added up, gaps interpolated and disorder levelled; and what resets add to each row. All unknown stays unknown."""
     known = np.flatnonzero(~np.isnan(start))
     if not len(known):
-        return start
-    t, add, last = start.astype(float).copy(), 0.0, None
+        return start, np.zeros(len(start))
+    t, shift, add, last = start.astype(float).copy(), np.zeros(len(start)), 0.0, None
     for i in known:
         if last is not None and start[i] < last - RESET_S and start[i] < RESET_S:
             add += last
+            shift[i:] = add
         last = start[i]
         t[i] += add
     t[known] = isotonic(t[known])
-    return np.interp(np.arange(len(t)), known, t[known])
+    return np.interp(np.arange(len(t)), known, t[known]), shift
+
+
+def clock(start: np.ndarray) -> np.ndarray:
+    """The start times of :func:`clock_and_shift`."""
+    return clock_and_shift(start)[0]
+
+
+_TIMES = T.StructType([T.StructField("stem", T.StringType()), T.StructField("pt", T.IntegerType()), T.StructField("ord", T.IntegerType()), T.StructField("start_s", T.DoubleType()), T.StructField("end_s", T.DoubleType())])
+
+
+def _clocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (stem, pt, ord, start_s, end_s), each part in one task and in order, with the clock of the whole part; ends are not before starts."""
+    held: list[tuple] = []
+
+    def part() -> pa.RecordBatch:
+        stem, pt, order, start, end = zip(*held)
+        at, shift = clock_and_shift(np.array(start, dtype=float))
+        end = np.array(end, dtype=float) + shift
+        end = np.where(np.isnan(end), at, np.fmax(end, at))
+        return pa.RecordBatch.from_arrays([pa.array(stem, pa.string()), pa.array(pt, pa.int32()), pa.array(order, pa.int32()), pa.array(at, pa.float64()), pa.array(end, pa.float64())], names=_TIMES.names)
+
+    for b in batches:
+        done = []
+        for row in zip(*(c.to_pylist() for c in b.columns)):
+            if held and row[:2] != held[-1][:2]:
+                done.append(part())
+                held = []
+            held.append(row)
+        if done:
+            yield pa.Table.from_batches(done).combine_chunks().to_batches()[0]
+    if held:
+        yield part()
 
 
 _TURN = T.StructType(
@@ -162,13 +195,11 @@ _SPOKEN = re.compile(r"\w")
 
 def _part_turns(rows: list[tuple], first: bool, last: bool, task: int) -> list[tuple]:
     """Turns of the rows (stem, pt, ord, start_s, end_s, no, text) of one part within a task. Those that rows of other tasks may touch are marked as edges."""
-    start = clock(np.array([x[3] for x in rows], dtype=float))
     stem, pt = rows[0][:2]
     out: list[list] = []
-    for (_, _, o, _, end, no, text), at in zip(rows, start):
+    for _, _, o, at, stop, no, text in rows:
         if text is None or not _SPOKEN.search(text):
             continue
-        stop = at if end is None or end < at else end
         if out and (no is None or no == out[-1][4]):
             x = out[-1]
             x[3], x[6] = o, max(x[6], stop)
@@ -217,8 +248,7 @@ def _joined(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if near and (no is None or no == p["speaker_no"]):
                 p |= {"last_ord": x["last_ord"], "end_s": max(p["end_s"], x["end_s"]), "text": f"{p['text']} {x['text']}", "task": x["task"], "k": x["k"]}
             else:
-                start = max(x["start_s"], p["end_s"]) if near and p["end_s"] > x["start_s"] else x["start_s"]
-                out.append(x | {"speaker_no": no, "start_s": start})
+                out.append(x | {"speaker_no": no})
     frame = pd.DataFrame(out, columns=_TURN.names)
     frame["speaker_no"] = frame["speaker_no"].astype("Int32")
     yield frame
@@ -231,6 +261,8 @@ def turns(segments: DataFrame) -> DataFrame:
     with the one before; speaker_no is null only before the first known speaker of a part.
     """
     rows = written(cleaned(segments), "clean")
+    times = rows.select(*_TIMES.names).repartition("stem", "pt").sortWithinPartitions("stem", "pt", "ord").mapInArrow(_clocked, _TIMES)
+    rows = rows.drop("start_s", "end_s").join(times, ["stem", "pt", "ord"]).select(*_TIMES.names, "no", "text")
     rows = rows.repartitionByRange("stem", "pt", "ord").sortWithinPartitions("stem", "pt", "ord")
     found = written(rows.mapInArrow(_turns, _TURN), "turns")
     # at most three turns a task: the number of tasks bounds what comes together here

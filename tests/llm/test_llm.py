@@ -326,6 +326,22 @@ def test_turns_over_tasks(spark):
     assert {(r["pt"], r["first_ord"], r["last_ord"], r["speaker_no"]) for r in got} == {tuple(x) for x in want}
 
 
+def test_clock_over_tasks(spark):
+    # a recorder that starts again at 0 after 300 segments; every tenth segment is out of order
+    at = [(o if o < 300 else o - 300) * 2.0 - (5.0 if o % 10 == 9 else 0.0) for o in range(600)]
+    rows = [(o, "s", 1, o, a, a + 1.5, f"SPEAKER_{o % 2}", None, "ja") for o, a in enumerate(at)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r["first_ord"]: (r["start_s"], r["end_s"]) for r in turns.turns(frame(spark, rows, SEG)).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    import numpy as np
+
+    start = turns.clock(np.array(at))
+    assert [got[o][0] for o in range(600)] == list(start) and min(np.diff(start)) >= 0
+    assert [got[o][1] for o in range(600)] == [max(start[o], a + 1.5 + (at[299] if o >= 300 else 0.0)) for o, a in enumerate(at)]
+
+
 def test_clock():
     import numpy as np
 
