@@ -647,6 +647,12 @@ def _minutes(t):
     return a.select("stem", F.concat(F.lit("Vorsitz:\n"), F.array_join("n", "\n"), F.lit("\nProtokoll: X")).alias("cover"), F.lit("").alias("body"))
 
 
+def _protocols(t):
+    """All different protocols of a sitting as one body, the oldest first."""
+    d = t("documents").where("kind = 'protocol' and stem is not null and text is not null").groupBy("stem", "text").agg(F.min(F.struct("created_at", "doc_id")).alias("at"))
+    return d.groupBy("stem").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "text"))), lambda x: x["text"]), "\n").alias("body"))
+
+
 @query("stem:s surname:s full:s role:s n_same:i")
 def directory_fold(t):
     return people.directory(people.mentions(_minutes(t), ["stem"]), ["stem"])
@@ -662,7 +668,7 @@ def chair_list(t):
 def resolve_cascade(t):
     m = _minutes(t)
     who = people.directory(people.mentions(m, ["stem"]), ["stem"])
-    body = t("documents").where("kind = 'protocol' and stem is not null and text is not null").groupBy("stem").agg(F.min("text").alias("body"))
+    body = _protocols(t)
     return resolve.resolved(_speech(t), who, people.chairs(m, who, ["stem"]), body, ["stem"])
 
 
@@ -677,7 +683,7 @@ def fuzzy_pairing(t):
 
 @query("stem:s label:s person:s score:d")
 def content_match(t):
-    body = t("documents").where("kind = 'protocol' and stem is not null and text is not null").groupBy("stem").agg(F.min("text").alias("body"))
+    body = _protocols(t)
     none = _speech(t).select("stem", "label", F.lit("x").alias("key")).limit(0)
     return best_assignment(resolve.content_scores(_speech(t), body, _people(t), none, ["stem"]), ["stem"], 20.0)
 

@@ -21,3 +21,15 @@ def test_summary_of_all_parts(spark, at):
     got = {r["stem"]: r["summary"] for r in catalog.queries()["summarise_stub"](spark, at("segments", rows, SEG)).collect()}
     assert set(got) == {"A", "B"} and "Nur zwei." in got["B"]
     assert "Eins a. Zwei." in got["A"]
+
+
+def test_all_protocols_of_a_sitting(spark, at):
+    from datetime import datetime
+
+    from redewerk.plans import queries
+
+    day = lambda d: datetime(2060, 1, d)
+    rows = [(1, "Alpha spricht.", "S", "protocol", day(2)), (2, "Zeta spricht.", "S", "protocol", day(1)), (2, "Zeta spricht.", "S", "protocol", day(1)), (3, "Brief.", "S", "letter", day(1))]
+    path = at("documents", rows, "doc_id bigint, text string, stem string, kind string, created_at timestamp")
+    got = queries._protocols(lambda name: spark.read.parquet(f"{path}/{name}.parquet")).collect()
+    assert [tuple(r) for r in got] == [("S", "Zeta spricht.\nAlpha spricht.")]
