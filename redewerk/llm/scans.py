@@ -196,13 +196,13 @@ def misreadings(docs: DataFrame) -> DataFrame:
     """(word, cand, weight): log odds of the candidate against the word standing there by right."""
     words = docs.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     words = written(words, "words")
-    # a word found very often can't be an error: its candidate would have to be RARITY times as frequent
+    odd = F.col("word").rlike(r"\p{L}[0-9!|]|[0-9!|]\p{L}|[ﬀ-ﬄ]")
+    # a word without odd signs that is found very often can't be an error: its candidate would have to be RARITY times as frequent
     top = words.agg(F.max("n")).first()[0] or 0
-    tried = words.where(F.col("n") <= max(1, top // RARITY)).where(F.length("word") >= 3)
+    tried = words.where((F.col("n") <= max(1, top // RARITY)) | odd).where(F.length("word") >= 3)
     opts = tried.withColumn("o", F.explode(_cands("word"))).select("word", "n", F.col("o.cand").alias("cand"), F.col("o.p").alias("p"))
     known = words.select(F.col("word").alias("cand"), F.col("n").alias("m"))
     met = opts.join(known, "cand")
-    odd = F.col("word").rlike(r"\p{L}[0-9!|]|[0-9!|]\p{L}|[ﬀ-ﬄ]")
     # by right an odd word stands as good as never
     right = F.log(F.when(odd, F.col("n") / 1000.0).otherwise(F.col("n").cast("double")))
     fits = F.when(odd, F.col("m") >= F.col("n")).otherwise(F.col("m") >= RARITY * F.col("n"))

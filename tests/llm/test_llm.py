@@ -249,6 +249,13 @@ def test_scan_repair(spark):
     assert got[1]["kinds"] == [] and got[101]["text"] == "" and got[102]["text"] == ""
 
 
+def test_scan_repair_of_frequent_odd_words(spark):
+    base = "Der Ausschuss nimmt die Vorlage zur Kenntnis"
+    rows = [(i, base) for i in range(40)] + [(100 + i, base.replace("Vorlage", "Vor1age")) for i in range(30)]
+    got = {r["rec_id"]: r["text"] for r in scans.repaired(frame(spark, rows, "rec_id bigint, text string")).collect()}
+    assert set(got.values()) == {base}
+
+
 def test_viterbi_prefers_neighbours():
     options = {"hauf": {"hauf": 0.0, "haut": 2.0, "häuf": 1.9}}
     assert scans.decode(["die", "hauf"], options, {}) == ["die", "haut"]
