@@ -256,6 +256,44 @@ def test_scan_repair_of_frequent_odd_words(spark):
     assert set(got.values()) == {base}
 
 
+def wrapped(text, width, every=None, header=""):
+    """Lines of at most ``width`` characters, with a header after every so many lines."""
+    import textwrap
+
+    lines = textwrap.wrap(text, width)
+    return [x for i, line in enumerate(lines) for x in ([line, header] if every and i % every == every - 1 and i + 1 < len(lines) else [line])]
+
+
+def test_headers_of_any_wording(spark):
+    rnd = random.Random(22)
+    vocab = "der die Wege Haus und beraten wird Mittel Antrag für Kinder sowie Planung über am See mit ohne Bau dem Kreis bei Fragen zur Lage".split()
+    text = lambda: " ".join(rnd.choice(vocab) for _ in range(90)) + "."
+    rows, want = [], {}
+    for i, header in enumerate(["Kreistag Ostsee, Protokollauszug 14", "Kreistag Ostsee, Protokollauszug 15", "VORLÄUFIGE FASSUNG", "Stadtrat Weiler | Blatt 3"]):
+        body = text()
+        rows.append((i, "\n".join(wrapped(body, 60, 4, header))))
+        want[i] = body
+    # at a paragraph's end, known from the others; first line; misread; an unfilled heading and a list are none
+    a, b = text(), text()
+    rows.append((10, "\n".join([*wrapped(a, 60), "Kreistag Ostsee, Protokollauszug 9", *wrapped(b, 60)])))
+    rows.append((11, "\n".join(["Krcistag Ostsee, Protoko1lauszug 7", *wrapped(a, 60)])))
+    rows.append((12, "\n".join([*wrapped(a, 60), "", "Zur Sache", "", *wrapped(b, 60)])))
+    rows.append((13, "\n".join([*wrapped(a[:-1] + " und zwar", 60), "- Haus", "- Wege", *wrapped(b, 60)])))
+    rows.append((14, "7\n" + "\n".join(wrapped(a, 60))))
+    got = {r["rec_id"]: r for r in scans.repaired(frame(spark, rows, "rec_id bigint, text string")).collect()}
+    assert {i: got[i]["text"] for i in want} == want and all(got[i]["kinds"] == ["header"] for i in want)
+    assert got[10]["kinds"] == ["header"] and "Ostsee" not in got[10]["text"]
+    assert got[11]["kinds"] == ["header"] and got[12]["kinds"] == [] and "Zur Sache" in got[12]["text"] and got[13]["kinds"] == []
+    assert got[14]["kinds"] == ["pageno"] and got[14]["text"] == a
+
+
+def test_scan_repair_of_copies(spark):
+    base = "Der Ausschuss nimmt die Vorlage zur Kenntnis und bittet gemeinsam um einen Bericht"
+    rows = [(i, f"{base} {i}.") for i in range(40)] + [(100 + i, base.replace("Bericht", "Bericlit")) for i in range(60)]
+    got = {r["rec_id"]: r["text"] for r in scans.repaired(frame(spark, rows, "rec_id bigint, text string")).collect()}
+    assert all(got[100 + i] == base for i in range(60)) and got[7] == f"{base} 7."
+
+
 def test_viterbi_prefers_neighbours():
     options = {"hauf": {"hauf": 0.0, "haut": 2.0, "häuf": 1.9}}
     assert scans.decode(["die", "hauf"], options, {}) == ["die", "haut"]
