@@ -315,6 +315,34 @@ def test_defects(spark):
     assert got == {**{i: d for i, (_, d) in cases.items() if d}, 50: "empty"}
 
 
+def test_refusals_of_any_length():
+    minutes = "Die Ministerin führt aus, dass die Wege im Mai gebaut werden. " * 20
+    assert defects.is_refusal("Vielen Dank für die Unterlagen. " + "Sie sind sehr umfangreich. " * 40 + "Leider kann ich diesen Text nicht zusammenfassen.")
+    assert defects.is_refusal(minutes + "Mehr kann ich zu dieser Anfrage nicht erstellen.") and not defects.is_refusal(minutes)
+    for s in ("Ich kann dem Antrag in dieser Form nicht zustimmen.", "Frau Ast sagt: „Ich kann diese Anfrage nicht beantworten.“", "Das Ministerium kann die Frage nicht beantworten.", "Ich möchte um eine Zusammenfassung bitten."):
+        assert not defects.is_refusal(s)
+    for s in ("Mi dispiace, non posso aiutare con questa richiesta.", "Lo siento, no puedo ayudar con esa solicitud.", "Jag kan tyvärr inte sammanfatta texten.", "Je ne peux pas résumer ce texte."):
+        assert defects.is_refusal(s)
+
+
+def test_languages_in_no_list():
+    for s in (
+        "Výbor projednal návrh na opravu mostů a rozhodl, že o něm bude dále jednat na příštím zasedání v květnu.", "Utskottet behandlade förslaget om renovering av broarna och beslutade att återkomma i ärendet under våren.",
+        "A bizottság megvitatta a hidak felújításáról szóló javaslatot, és úgy döntött, hogy májusban újra tárgyalja.", "La commissione ha discusso la proposta e ha deciso di tornare sul tema nella prossima seduta di maggio.", "Комитет обсудил предложение о ремонте мостов и решил вернуться к нему в мае этого года.",
+    ):
+        assert not defects.is_german(s)
+    for s in ("Vorlage vertagt.", "Abstimmung: 9 Ja, 0 Nein, 2 Enthaltungen. Beschluss einstimmig, Anhörung im Mai, Bericht im Juni.", "Der Ausschuss nimmt den Bericht zur Kenntnis.", "## The heading of a text"):
+        assert defects.is_german(s)
+
+
+def test_short_copies_and_abbreviations(spark):
+    assert defects.copy_ratio("Wie hoch ist der Etat?", "Frage:\nwie hoch ist der Etat") == 0.0 and defects.copy_ratio("Wie hoch?", "Wie hoch ist der Etat?") == 1.0 and defects.copy_ratio("x", None) == 1.0
+    good = "Der Ausschuss berät die Vorlage laut Abs. 3 und § 7 Abs. 4 sowie Abs. 9 und nimmt den Bericht zur Kenntnis"
+    rows = [record(i, answer=f"{good} im Jahr {i}.") for i in range(5)] + [record(10, answer=f"{good}.") , record(11, answer="Der Ausschuss berät die Vorlage laut Abs.")]
+    got = {r["rec_id"]: r["defect"] for r in defects.defects(frame(spark, rows)).collect()}
+    assert got[11] == "truncated" and 10 not in got
+
+
 def test_repeated_truncation_is_no_terminal(spark):
     rnd = random.Random(21)
     vocab = [f"wort{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(600)]
