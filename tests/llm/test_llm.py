@@ -90,6 +90,29 @@ def test_splits_incremental(spark, tmp_path):
     assert {r["comp"]: r["split"] for r in last.comps.collect()}[min(min(train), test)] == splits.QUARANTINE
 
 
+def test_splits_delivered_again(spark, tmp_path):
+    man = frame(spark, [], MAN)
+    store = splits.ComponentStore(spark, f"file://{tmp_path}/c")
+    rows = [record(1), record(2, "ABC_1_2"), record(3, "ABC_1_2"), record(4, None, "PF-4"), record(5, "ABC_1_9", "PF-5")]
+    store.write(splits.update(store.read(), frame(spark, rows), man)[0])
+    # a second delivery changes nothing; a corrected record ties its old component to another; late ones join
+    assert {(r["rec_id"], r["group_id"]) for r in splits.found(frame(spark, rows), man, store).collect()} == {(2, 2), (3, 2)}
+    got = {(r["rec_id"], r["group_id"]) for r in splits.found(frame(spark, [record(4, "ABC_1_9"), record(0, None, "PF-4"), record(1)]), man, store).collect()}
+    assert got == {(4, 4), (0, 4)}
+    state = store.read()
+    assert {r["rec_id"]: r["comp"] for r in state.records.collect()} == {0: 4, 1: 1, 2: 2, 3: 2, 4: 4, 5: 4}
+    assert {r["comp"]: r["n"] for r in state.comps.collect()} == {1: 1, 2: 2, 4: 3}
+    assert {r["comp"] for r in state.keys.collect()} == {1, 2, 4}
+
+
+def test_splits_with_hot_key(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(splits, "LEAST_HOT", 100)
+    rows = [record(i, "ABC_1_1" if i % 3 else f"ABC_2_{i}", f"PF-{i // 6}") for i in range(4000)]
+    man = frame(spark, [], MAN)
+    got = splits.found(frame(spark, rows), man, splits.ComponentStore(spark, f"file://{tmp_path}/c")).collect()
+    assert {(r["rec_id"], r["group_id"]) for r in got} == {(i, 0) for i in range(4000)}
+
+
 def test_splits_empty(spark, tmp_path):
     man = frame(spark, [], MAN)
     assert splits.found(frame(spark, []), man, splits.ComponentStore(spark, f"file://{tmp_path}/c")).count() == 0
