@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import ahocorasick
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,8 +28,8 @@ _WORD = re.compile(r"[^\W_](?:[^\W_]|[̀-ͯ])*")
 _FOLD = str.maketrans({"ä": "ae", "ö": "oe", "ü": "ue", "ß": "ss"})
 
 
-def fold(word: str) -> str:
-    w = word.casefold().replace("ä", "ae").replace("ö", "oe").replace("ü", "ue")
+def fold(text: str) -> str:
+    w = text.replace("\u0345", "").casefold().replace("ä", "ae").replace("ö", "oe").replace("ü", "ue")
     return w.translate(_FOLD)
 
 
@@ -40,7 +41,7 @@ class Automaton:
         self.found = ahocorasick.Automaton()
         runs: dict[str, list[tuple[int, int]]] = {}
         for item, passage in items:
-            code = "".join(self.codes.setdefault(fold(w), chr(0x100 + len(self.codes) + (0x800 if len(self.codes) >= 0xD700 else 0))) for w in _WORD.findall(passage or ""))
+            code = "".join(self.codes.setdefault(w, chr(0x100 + len(self.codes) + (0x800 if len(self.codes) >= 0xD700 else 0))) for w in _WORD.findall(fold(passage or "")))
             for k in range(len(code) - RUN + 1):
                 runs.setdefault(code[k : k + RUN], []).append((item, k))
         for code, at in runs.items():
@@ -54,7 +55,8 @@ class Automaton:
         if self.empty or not text:
             return []
         get = self.codes.get
-        code = "".join([get(w, "\0") for w in map(fold, _WORD.findall(text))])
+        # the whole text is folded at once; folding joins or parts no words
+        code = "".join([get(w, "\0") for w in _WORD.findall(fold(text))])
         open_runs: dict[tuple[int, int], list[int]] = {}
         done: list[tuple[int, int, int]] = []
         for end, at in self.found.iter(code):
@@ -75,7 +77,15 @@ class Automaton:
 
 
 _SPANS = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "item_id")] + [T.StructField(c, T.IntegerType()) for c in ("start", "end", "words")])
-_built: dict[int, Automaton] = {}
+_built: dict[str, Automaton] = {}
+
+
+def digest(rows: list[tuple[int, str]]) -> str:
+    """Tells blocks of items apart, also those of other calls in the same worker."""
+    h = xxhash.xxh3_128()
+    for item, passage in rows:
+        h.update(f"{item}\x1f{passage}\x1e")
+    return h.hexdigest()
 
 
 def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
@@ -92,11 +102,10 @@ def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
     out: DataFrame | None = None
     for block in range(blocks):
         # about BLOCK_WORDS words
-        rows = [(r["item_id"], r["passage"]) for r in sizes.where(F.col("block") == block).select("item_id", "passage").collect()]
-        shared = spark.sparkContext.broadcast(rows)
+        rows = sorted((r["item_id"], r["passage"]) for r in sizes.where(F.col("block") == block).select("item_id", "passage").collect())
+        shared, key = spark.sparkContext.broadcast(rows), digest(rows)
 
-        def scan(parts: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            key = id(shared.value)
+        def scan(parts: Iterator[pd.DataFrame], shared=shared, key=key) -> Iterator[pd.DataFrame]:
             if key not in _built:
                 _built.clear()
                 _built[key] = Automaton(shared.value)

@@ -28,30 +28,54 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 WINDOW = 64
 
 
+# --- fixed values: how the byte-level vocabularies part a text before it is encoded -------------
+PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
+
+
 @lru_cache(maxsize=2)
 def tokenizer(path: str) -> tiktoken.Encoding:
-    import sys
-
+    """The byte-level tokenizer of a vocabulary file, which all executors must find at this path."""
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    try:
-        from public_tokenizers import PATTERN
-    except ImportError:
-        sys.path.append(path.rsplit("/", 2)[0])
-        PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
     return tiktoken.Encoding("documents", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def token_counts(documents: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+def vocabulary_of(spark: SparkSession) -> str:
+    """The vocabulary file the session names (``spark.redewerk.vocabulary``), else the one of this environment."""
+    return spark.conf.get("spark.redewerk.vocabulary", VOCABULARY)
+
+
+def token_counts(documents: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """(doc_id, tokens) of the documents with a text. Repeated rows count once."""
+    path = vocabulary or vocabulary_of(documents.sparkSession)
 
     @F.pandas_udf(T.IntegerType())
     def count(text: pd.Series) -> pd.Series:
-        enc = tokenizer(vocabulary)
+        enc = tokenizer(path)
         return text.map(lambda t: len(enc.encode_ordinary(t))).astype("int32")
 
-    d = documents.where("doc_id is not null and text is not null").select("doc_id", "text").dropDuplicates(["doc_id"])
-    return d.select("doc_id", count("text").alias("tokens"))
+    # counted where the texts are read: only numbers are shuffled
+    d = documents.where("doc_id is not null and text is not null").select("doc_id", count("text").alias("tokens"))
+    return d.groupBy("doc_id").agg(F.min("tokens").alias("tokens"))
+
+
+def cut_text(text: str, size: int, vocabulary: str) -> list[tuple[int, str, int]]:
+    """(piece, text, tokens) of a text cut after every ``size`` tokens; the pieces give the text when joined.
+
+    A character of which a cut falls between the bytes goes to the piece in which it begins.
+    """
+    enc = tokenizer(vocabulary)
+    tokens = enc.encode_ordinary(text)
+    ends = np.cumsum([len(enc.decode_single_token_bytes(t)) for t in tokens]) if tokens else np.zeros(0, dtype=int)
+    raw = text.encode()
+    out, start = [], 0
+    for k in range(0, len(tokens), size):
+        end = int(ends[min(k + size, len(tokens)) - 1])
+        while end < len(raw) and raw[end] & 0xC0 == 0x80:
+            end += 1
+        out.append((k // size, raw[start:end].decode(), min(size, len(tokens) - k)))
+        start = end
+    return out
 
 
 def best_fill(room: int, lengths: list[int], counts: dict[int, int]) -> dict[int, int]:
@@ -162,14 +186,36 @@ def packed(items: DataFrame, capacity: int) -> DataFrame:
     return line.mapInPandas(place, schema)
 
 
-def containers(documents: DataFrame, limits: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """(strategy, container, doc_id, piece, tokens) for each capacity of purpose ``containers``."""
+def containers(documents: DataFrame, limits: DataFrame, vocabulary: str | None = None) -> DataFrame:
+    """(strategy, container, doc_id, piece, start, tokens) for each capacity of purpose ``containers``; start: the token of the text with which the piece begins."""
     sizes = cut(token_counts(documents, vocabulary))
     out: DataFrame | None = None
     for r in limits.where("purpose = 'containers' and max_size > 0").select("strategy", "max_size").distinct().orderBy("strategy").collect():
-        one = packed(sizes, r["max_size"]).select(F.lit(r["strategy"]).alias("strategy"), "container", "doc_id", "piece", "tokens")
+        one = packed(sizes, r["max_size"]).select(F.lit(r["strategy"]).alias("strategy"), "container", "doc_id", "piece", (F.col("piece") * F.lit(r["max_size"]).cast("bigint")).alias("start"), "tokens")
         out = one if out is None else out.unionByName(one)
-    return out if out is not None else documents.sparkSession.createDataFrame([], "strategy string, container bigint, doc_id bigint, piece int, tokens int")
+    return out if out is not None else documents.sparkSession.createDataFrame([], "strategy string, container bigint, doc_id bigint, piece int, start bigint, tokens int")
+
+
+def filled(documents: DataFrame, limits: DataFrame, vocabulary: str | None = None) -> DataFrame:
+    """(strategy, container, tokens, parts): each container with the texts and pieces of texts it holds, parts (doc_id, piece, text).
+
+    A container holds no more than its capacity, so this brings together bounded rows only.
+    """
+    path = vocabulary or vocabulary_of(documents.sparkSession)
+    plan = written(containers(documents, limits, path), "containers")
+    sizes = limits.where("purpose = 'containers' and max_size > 0").select("strategy", F.col("max_size").alias("size")).distinct()
+    piece = T.ArrayType(T.StructType([T.StructField("piece", T.IntegerType()), T.StructField("text", T.StringType()), T.StructField("tokens", T.IntegerType())]))
+
+    @F.pandas_udf(piece)
+    def pieces(text: pd.Series, size: pd.Series) -> pd.Series:
+        return pd.Series([[dict(zip(("piece", "text", "tokens"), x)) for x in cut_text(t, int(n), path)] for t, n in zip(text, size)])
+
+    texts = documents.where("doc_id is not null and text is not null").groupBy("doc_id").agg(F.first("text").alias("text"))
+    split = plan.where("start > 0").select("strategy", "doc_id").distinct().join(sizes, "strategy").join(texts, "doc_id")
+    cut_up = split.select("strategy", "doc_id", F.explode(pieces("text", "size")).alias("x")).select("strategy", "doc_id", "x.piece", "x.text")
+    whole = plan.join(split.select("strategy", "doc_id"), ["strategy", "doc_id"], "left_anti").join(texts, "doc_id")
+    part = plan.join(cut_up, ["strategy", "doc_id", "piece"]).select("strategy", "container", "tokens", "doc_id", "piece", "text").unionByName(whole.select("strategy", "container", "tokens", "doc_id", "piece", "text"))
+    return part.groupBy("strategy", "container").agg(F.sum("tokens").alias("tokens"), F.array_sort(F.collect_list(F.struct("doc_id", "piece", "text"))).alias("parts"))
 
 
 def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,8 +235,14 @@ def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def p8_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every container with its tokens and its texts put together, parted by blank lines."""
+    f = filled(read(spark, sf_dir, "documents"), read(spark, sf_dir, "size_limits"))
+    return f.select("strategy", "container", "tokens", F.size("parts").alias("items"), F.array_join(F.transform("parts", lambda x: x["text"]), "\n\n").alias("text"))
+
+
 def queries() -> dict:
-    return {"p8_containers": p8_containers, "p8_fill": p8_fill}
+    return {"p8_containers": p8_containers, "p8_fill": p8_fill, "p8_texts": p8_texts}
 
 
 def oracle_sql() -> dict[str, str]:

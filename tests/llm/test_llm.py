@@ -483,6 +483,22 @@ def test_token_counts(spark):
     assert got[3] == 0 and got[1] > 1 and set(got) == {1, 3}
 
 
+def test_containers_hold_the_texts(spark):
+    rnd = random.Random(23)
+    words = ["Straße", "Übung", "zażółć", "日本語", "die", "Wege 12", "\n\n", "🙂", "x" * 30]
+    docs = [(i, " ".join(rnd.choice(words) for _ in range(rnd.choice([1, 5, 40, 300])))) for i in range(60)] + [(70, None), (71, ""), (0, "doppelt")]
+    docs[-1] = docs[0]
+    limits = spark.createDataFrame([("containers", "klein", 64, 0, "tokens"), ("containers", "groß", 512, 0, "tokens"), ("pieces", "per-top", 5, 1, "words")], "purpose string, strategy string, max_size int, overlap_size int, unit string")
+    for strategy, size in (("klein", 64), ("groß", 512)):
+        got = [r for r in packing.filled(frame(spark, docs, "doc_id bigint, text string"), limits).collect() if r["strategy"] == strategy]
+        assert all(r["tokens"] <= size for r in got)
+        of = {}
+        for r in got:
+            for p in r["parts"]:
+                of.setdefault(p["doc_id"], []).append((p["piece"], p["text"]))
+        assert {i: "".join(t for _, t in sorted(p)) for i, p in of.items()} == {i: t for i, t in docs if t}
+
+
 # ------------------------------------------------------------------ 9
 def test_leaks_against_brute_force(spark):
     rnd = random.Random(11)
@@ -520,6 +536,20 @@ def test_leaks_against_brute_force(spark):
     assert leaks.leaks(dd, ii.limit(0)).count() == 0
 
 
+def test_folding_keeps_the_number_of_words():
+    for cp in [*range(0xD800), *range(0xE000, 0x30000)]:
+        for t in (chr(cp), f"a{chr(cp)}b", f"a {chr(cp)}"):
+            assert len(leaks._WORD.findall(t)) == len(leaks._WORD.findall(leaks.fold(t))), hex(cp)
+
+
+def test_leaks_of_two_item_sets(spark):
+    w = [f"wort{i}" for i in range(40)]
+    docs = frame(spark, [(1, " ".join(w[:20])), (2, " ".join(w[20:]))], "doc_id bigint, text string").repartition(1)
+    for part, want in ((w[2:18], {(1, 5)}), (w[22:38], {(2, 5)})) * 3:
+        items = frame(spark, [(5, " ".join(part))], "item_id bigint, passage string")
+        assert {(r["doc_id"], r["item_id"]) for r in leaks.leaks(docs, items).collect()} == want
+
+
 # ------------------------------------------------------------------ 10
 def test_encoding_round_trip(spark):
     words = ["für", "Straße", "Übung", "möchte", "Gebäude", "grün", "Fußweg", "Höhe", "Maß", "Türen", "schön", "Räume", "weiß", "Größe", "hält"]
