@@ -1,9 +1,9 @@
 """Problem 4: splitting oversized items at natural boundaries.
 
 Content-defined chunking over the words of a message: a rolling hash over a window of
-words sets landmarks that depend on the words alone; a cut goes to the strongest natural
+words sets landmarks that depend on the words alone; a cut goes to the natural
 boundary (speaker turn, paragraph, sentence) nearest to the first landmark between the
-least and the largest size. After an edit, cuts fall back onto the same places within a few
+least and the largest size, of two as near to the stronger one. After an edit, cuts fall back onto the same places within a few
 pieces, so distant pieces stay as they were.
 """
 
@@ -74,11 +74,7 @@ def cuts(text: str, spans: list[tuple[int, int]], limit: int, overlap: int) -> l
     while n - at[-1] > (most if len(at) > 1 else limit):
         lo, hi = at[-1] + least, at[-1] + most
         target = next((i for i in range(lo, hi) if mark[i]), hi)
-        best = max(strength[lo : hi + 1])
-        if best == NONE:
-            at.append(target)
-            continue
-        at.append(min((i for i in range(lo, hi + 1) if strength[i] == best), key=lambda i: (abs(i - target), i)))
+        at.append(min((i for i in range(lo, hi + 1) if strength[i] != NONE), key=lambda i: (abs(i - target), -strength[i], i), default=target))
     return at
 
 
@@ -118,7 +114,7 @@ def pieces(records: DataFrame, limits: DataFrame) -> DataFrame:
     """
     key = F.regexp_replace(F.lower(F.trim("strategy")), r"[_\s]+", "-")
     lim = limits.where(F.lower("purpose") == "pieces").groupBy(key.alias("strategy")).agg(F.min("max_size").alias("max_size"), F.min("overlap_size").alias("overlap_size"))
-    r = records.where("rec_id is not null").dropDuplicates(["rec_id"])
+    r = records.where("rec_id is not null")
     own = F.regexp_replace(F.lower(F.trim("meta.strategy")), r"[_\s]+", "-")
     msg = r.select("rec_id", own.alias("strategy"), F.posexplode("messages").alias("msg_pos", "m")).select("rec_id", "strategy", "msg_pos", F.col("m.content").alias("text"))
     msg = msg.where("text is not null").withColumn("n", F.size(F.split(F.trim(F.regexp_replace("text", r"(?U)\s+", " ")), " ")))
@@ -126,6 +122,8 @@ def pieces(records: DataFrame, limits: DataFrame) -> DataFrame:
     base = lim.select(F.col("strategy").alias("instead"), F.col("max_size").alias("base_size"), F.col("overlap_size").alias("base_overlap"))
     listed = listed.withColumn("instead", F.when(F.col("max_size").isNull(), "per-top")).join(base, "instead", "left")
     msg = listed.withColumn("limit", F.coalesce("max_size", "base_size")).withColumn("overlap", F.coalesce("overlap_size", "base_overlap", F.lit(0))).where("n > limit")
+    # only what is above its limit is shuffled; of rows of the same rec_id one counts
+    msg = msg.dropDuplicates(["rec_id", "msg_pos"])
     return msg.select("rec_id", "msg_pos", F.explode(_split("text", "limit", "overlap")).alias("p")).select("rec_id", "msg_pos", "p.*")
 
 

@@ -109,9 +109,9 @@ def cleaned(segments: DataFrame) -> DataFrame:
     no = F.coalesce(number_of(F.col("speaker")), number_of(F.col("label")), inside)
     name = lambda c: F.when(number_of(F.col(c)).isNull() & F.col(c).rlike(r"\p{L}"), F.trim(c))
     s = s.select("stem", "pt", "ord", "start_s", "end_s", no.alias("no"), F.coalesce(name("label"), name("speaker")).alias("name"), clean(F.col("text")).alias("text"))
-    s = s.groupBy("stem", "pt", "ord").agg(
-        F.min("start_s").alias("start_s"), F.min("end_s").alias("end_s"), F.min("no").alias("no"), F.min("name").alias("name"), F.max("text").alias("text")
-    )
+    # of several deliveries the one that tells most, as a whole
+    most = F.struct(F.col("no").isNotNull(), F.col("name").isNotNull(), F.col("start_s").isNotNull(), F.col("end_s").isNotNull(), "text", "no", "name", "start_s", "end_s")
+    s = s.groupBy("stem", "pt", "ord").agg(F.max_by(F.struct("start_s", "end_s", "no", "name", "text"), most).alias("x")).select("stem", "pt", "ord", "x.*")
     s = written(s, "segments")
     pairs = s.where("name is not null").groupBy("stem", "pt", "name", "no").agg(F.count("*").alias("n"))
     part = pairs.groupBy("stem", "pt").agg(
