@@ -2,9 +2,10 @@
 
 Garbled and clean spellings that are equal once all non-ASCII characters are taken out are near-twins.
 Twins are joined word by word over all texts (documents are often garbled only in part, and
-have no twin as a whole), their characters aligned between the ASCII characters they share,
+have no twin as a whole): each spelling with the one of its twins that has the fewest non-ASCII characters and, of these,
+is most frequent. Their characters are aligned between the ASCII characters they share,
 and the counted replacements kept where a chain of encodings in fact turns one into
-the other. The learned replacements are then applied to all texts, and the chains they
+the other; runs of characters teach their single characters too. The learned replacements are then applied to all texts, and the chains they
 belong to to the characters that no twin showed.
 """
 
@@ -23,9 +24,7 @@ from ._common import read, written
 
 # --- fixed values: encodings texts are written in or taken for ---------------------------
 ENCODINGS = ("utf-8", "latin-1", "cp1252", "cp1250", "iso8859-2", "iso8859-15", "cp850", "cp852", "cp437", "mac_roman", "mac_latin2", "cp1251", "koi8-r", "iso8859-5", "cp866", "cp1254", "cp1257", "iso8859-9", "cp1253")
-#: A spelling this many times rarer than its twin may be garbled.
-RARITY = 3
-#: Different words that must show a replacement.
+#: Different words that must show a replacement, or others of its chain of encodings.
 SUPPORT = 2
 #: Occurrences that make a word frequent.
 USUAL = 20
@@ -152,34 +151,55 @@ def _runs(s: pd.Series) -> pd.Series:
     return s.map(lambda t: sorted({r for r in runs(t) if r}))
 
 
+def single(bad: str, good: str, chain: Chain) -> list[tuple[str, str]]:
+    """The replacements of single characters behind the one of a run."""
+    out = []
+    for c in set(good):
+        x = garble(c, chain)
+        if x is not None and x != c and x in bad:
+            out.append((x, c))
+    return out
+
+
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("bad", T.StringType()), T.StructField("good", T.StringType()), T.StructField("chain", T.StringType())])))
+def _explained(bad: pd.Series, good: pd.Series) -> pd.Series:
+    """Replacements of single characters with the chains that make them; lost characters without chain."""
+
+    def one(b: str, g: str) -> list[dict]:
+        if set(b) <= {"?", LOST}:
+            return [{"bad": b[0], "good": "", "chain": ""}]
+        return [{"bad": x, "good": c, "chain": ">".join(chain)} for chain in explaining(b, g) for x, c in single(b, g, chain)]
+
+    return pd.Series([one(b, g) for b, g in zip(bad, good)])
+
+
 def learned(texts: DataFrame) -> tuple[dict[str, str], dict[str, str], dict[Chain, int], dict[str, int], str]:
     """(replacements bad -> good, those whose bad is also written rightly, chains with their support, lost marks, usual characters) from the twins in all texts.
 
     Their number is bounded by the encodings and the characters written in the texts, not by the texts.
     """
     types = written(texts.mapInPandas(_tokens, _TOKENS).groupBy("token").agg(F.sum("n").alias("n")), "tokens")
-    types = types.withColumn("skeleton", _skeleton("token")).where(F.length("skeleton") >= 2)
-    best = types.where(~F.col("token").contains("?") & ~F.col("token").contains(LOST)).groupBy("skeleton").agg(F.max_by("token", F.struct("n", "token")).alias("clean"), F.max("n").alias("most"))
-    pairs = types.join(best, "skeleton").where(F.col("token") != F.col("clean")).where(F.col("n") * RARITY <= F.col("most"))
+    types = types.withColumn("skeleton", _skeleton("token")).where(F.length("skeleton") >= 2).withColumn("odd", F.length("token") - F.length("skeleton"))
+    fit = types.where(~F.col("token").contains("?") & ~F.col("token").contains(LOST))
+    best = fit.groupBy("skeleton").agg(F.min_by(F.struct("token", "n", "odd"), F.struct("odd", -F.col("n"), "token")).alias("x")).select("skeleton", F.col("x.token").alias("clean"), F.col("x.n").alias("most"), F.col("x.odd").alias("clean_odd"))
+    pairs = types.join(best, "skeleton").where(F.col("token") != F.col("clean"))
     step = pairs.select("skeleton", F.explode(_aligned("token", "clean")).alias("x")).groupBy("x.bad", "x.good").agg(F.count_distinct("skeleton").alias("words"))
-    # longer runs are several characters in a row and are taken apart when they are mended
-    step = step.where((F.col("words") >= SUPPORT) & (F.length("bad") <= 16) & (F.length("good") <= 3))
+    step = written(step.select("words", F.explode(_explained("bad", "good")).alias("x")).groupBy("x.bad", "x.good", "x.chain").agg(F.sum("words").alias("words")), "replacements")
     rightly = best.select("skeleton", F.explode(_runs("clean")).alias("bad")).groupBy("bad").agg(F.count("*").alias("right"))
-    step = step.join(rightly, "bad", "left").orderBy(F.col("words").desc(), "bad", "good")
+    step = step.join(rightly, "bad", "left").orderBy(F.col("words").desc(), "bad", "good", "chain")
+    rows = step.collect()
+    lost = {r["bad"]: r["words"] for r in rows if not r["chain"] and r["words"] >= SUPPORT}
+    chains: Counter[Chain] = Counter()
+    for r in rows:
+        if r["chain"]:
+            chains[tuple(r["chain"].split(">"))] += r["words"]
     replace: dict[str, str] = {}
     doubtful: dict[str, str] = {}
-    chains: Counter[Chain] = Counter()
-    lost: dict[str, int] = {}
-    for r in step.collect():
-        bad, good = r["bad"], r["good"]
-        if set(bad) <= {"?", LOST}:
-            lost[bad] = lost.get(bad, 0) + r["words"]
+    for r in rows:
+        bad = r["bad"]
+        if not r["chain"] or chains[tuple(r["chain"].split(">"))] < SUPPORT or bad in replace or bad in doubtful:
             continue
-        own = explaining(bad, good)
-        if own and bad not in replace and bad not in doubtful:
-            (doubtful if (r["right"] or 0) > r["words"] else replace)[bad] = good
-        for c in own:
-            chains[c] += r["words"]
+        (doubtful if (r["right"] or 0) > r["words"] else replace)[bad] = r["good"]
     # characters of frequent words: what a chain leads back to must consist of them
     usual = best.where(F.col("most") >= USUAL).select(F.explode(F.split(F.regexp_replace("clean", r"[\x00-\x7f]", ""), "")).alias("c")).where("c <> ''").distinct()
     return replace, doubtful, dict(chains), lost, "".join(sorted(r["c"] for r in usual.collect()))
@@ -273,7 +293,7 @@ def mended(documents: DataFrame) -> DataFrame:
     Foreign letters and signs by themselves, null and blank texts give no rows. Repeated rows count once.
     """
     d = documents.where("doc_id is not null and text is not null").select("doc_id", "text")
-    d = d.where(F.col("text").rlike(r"[^\x00-\x7f]|\?\p{L}")).dropDuplicates(["doc_id"])
+    d = written(d.where(F.col("text").rlike(r"[^\x00-\x7f]|\?\p{L}")).dropDuplicates(["doc_id"]), "texts")
     shared = documents.sparkSession.sparkContext.broadcast(learned(d.select("text")))
 
     def apply(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
