@@ -21,19 +21,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from ._common import cut, read, written
+from ._common import cut, part_count, read, written
 
-# --- fixed values: short forms of given names -------------------------------------
+# --- fixed values: widely known German short forms of given names; others are learned from the lists themselves ----
 NICKNAMES = {
-    "alex": "alexandra alexander", "ali": "alexandra", "andi": "andreas andrea", "basti": "sebastian", "bene": "benedikt", "bernd": "bernhard",
-    "charly": "charlotte karl", "chris": "christian christiane", "christl": "christiane christina", "conny": "cornelia", "doro": "dorothea",
-    "ebbo": "eberhard", "elli": "elisabeth", "else": "elisabeth", "fine": "josephine", "franzi": "franziska", "fritz": "friedrich", "gabi": "gabriele",
-    "gerd": "gerhard", "grete": "margarete", "gretel": "margarete", "hannes": "johannes", "hans": "johannes", "heiner": "heinrich", "heinz": "heinrich",
-    "hias": "matthias", "inge": "ingeborg", "jo": "johannes josephine joachim", "jochen": "joachim", "josi": "josephine", "jupp": "josef", "kathi": "katharina", "kati": "katharina",
-    "klaus": "nikolaus", "leo": "leonhard leopold", "lisbeth": "elisabeth", "lisa": "elisabeth", "liesel": "elisabeth", "lotte": "charlotte", "matze": "matthias", "max": "maximilian",
-    "micha": "michael", "niko": "nikolaus", "otti": "ottilie", "perry": "peregrin", "quirl": "quirin", "rosi": "rosemarie", "sandra": "alexandra",
-    "sanne": "susanne", "sepp": "josef", "steffi": "stefanie", "susi": "susanne", "thea": "dorothea", "theo": "theodor", "uli": "ulrich ulrike", "ulla": "ursula",
-    "uschi": "ursula", "uwe": "ulrich", "valti": "valentin", "willi": "wilhelm", "wolle": "wolfgang", "yvi": "yvonne", "zacki": "zacharias",
+    "alex": "alexandra alexander", "andi": "andreas andrea", "anni": "anna", "basti": "sebastian", "benni": "benjamin", "bernd": "bernhard", "betti": "elisabeth", "burgl": "walburga", "chris": "christian christiane", "christl": "christiane christina",
+    "conny": "cornelia", "doro": "dorothea", "elli": "elisabeth", "else": "elisabeth", "evi": "eva", "ferdl": "ferdinand", "fine": "josephine", "flori": "florian", "franzi": "franziska", "fritz": "friedrich", "gabi": "gabriele", "gerd": "gerhard",
+    "gitti": "brigitte", "grete": "margarete", "gretel": "margarete", "gustl": "august auguste", "hannes": "johannes", "hans": "johannes", "heidi": "adelheid", "heiner": "heinrich", "heinz": "heinrich", "hias": "matthias", "inge": "ingeborg", "jochen": "joachim",
+    "josi": "josephine", "jupp": "josef", "kathi": "katharina", "kati": "katharina", "klaus": "nikolaus", "leni": "helene magdalena", "leo": "leonhard leopold", "lilli": "elisabeth", "lisa": "elisabeth", "lisbeth": "elisabeth", "liesel": "elisabeth", "loni": "apollonia",
+    "lotte": "charlotte", "manni": "manfred", "matze": "matthias", "max": "maximilian", "micha": "michael", "moni": "monika", "niko": "nikolaus", "otti": "ottilie", "poldi": "leopold", "resi": "theresia therese", "rosi": "rosemarie", "rudi": "rudolf", "sandra": "alexandra",
+    "sanne": "susanne", "schorsch": "georg", "sepp": "josef", "sigi": "siegfried", "steffi": "stefanie", "susi": "susanne", "thea": "dorothea", "theo": "theodor", "tina": "christina martina", "toni": "anton antonia", "traudl": "gertraud", "uli": "ulrich ulrike", "ulla": "ursula",
+    "uschi": "ursula", "uwe": "ulrich", "vroni": "veronika", "wiggerl": "ludwig", "willi": "wilhelm", "wolle": "wolfgang", "xaver": "franz", "yvi": "yvonne", "zenzi": "kreszentia",
 }
 # --- fixed values: kinds of organisations and their short forms (folded) -------------
 ORG_KINDS = {
@@ -53,6 +51,11 @@ MEET_AT = 0.4
 RECALL = 0.999
 BANDS = math.ceil(math.log(1 - RECALL) / math.log(1 - MEET_AT**ROWS))
 MIN_SCORE = 0.7
+#: Monge-Elkan similarity that family names must reach before their edits are counted.
+ELKAN = 0.8
+#: A given name is a short form of another if it stands beside it, with the same family name in the same list, so many times and in this
+#: share of its family names, and the other is this many times more frequent.
+SHORT_TIMES, SHORT_SHARE, FULLER = 3, 0.3, 2
 
 _SHORT_KIND = {s: k for k, v in ORG_KINDS.items() for s in (k, *v.split())}
 
@@ -141,9 +144,9 @@ def parsed(name: str | None) -> tuple | None:
 _FULL = {fold(k): set(fold(v).split()) for k, v in NICKNAMES.items()}
 
 
-def full_names(given: str) -> set[str]:
+def full_names(given: str, learned: tuple[str, ...] | list[str] = ()) -> set[str]:
     """The folded full names a folded given name may stand for."""
-    return _FULL.get(given, {given})
+    return _FULL.get(given, set()) | set(learned) or {given}
 
 
 def winkler(a: str, b: str) -> float:
@@ -165,45 +168,60 @@ def winkler(a: str, b: str) -> float:
     return jaro + min(p, 4) * 0.1 * (1 - jaro)
 
 
-def given_likeness(a: str, b: str) -> float:
-    """1 for the same given name (short forms count), less for typing errors, abbreviations and none; 0 if they can't be the same."""
+def given_likeness(a: str, b: str, full_a: tuple[str, ...] | list[str] = (), full_b: tuple[str, ...] | list[str] = ()) -> float:
+    """1 for the same given name (short forms count), less for typing errors, abbreviations and none; 0 if they can't be the same.
+
+    full_a, full_b: full names learned for a and b. The beginning of a name, of two letters or more, may be a short form.
+    """
     if not a or not b:
         return 0.55
     if a.endswith(".") or b.endswith("."):
-        x, y = sorted((a, b), key=lambda g: (not g.endswith("."), len(g)))
-        stem = x.rstrip(".")
-        fits = any(f.startswith(stem) for f in full_names(y.rstrip(".")) | {y.rstrip(".")})
+        x, y = sorted(((a, full_a), (b, full_b)), key=lambda g: (not g[0].endswith("."), len(g[0])))
+        stem = x[0].rstrip(".")
+        fits = any(f.startswith(stem) for f in full_names(y[0].rstrip("."), y[1]) | {y[0].rstrip(".")})
         return (0.8 if len(stem) > 1 else 0.75) if fits else 0.0
-    if full_names(a) & full_names(b):
+    if full_names(a, full_a) & full_names(b, full_b):
         return 1.0
     most = 1 if min(len(a), len(b)) < 5 else 2
-    near = min(distance(x, y, most) for x in full_names(a) | {a} for y in full_names(b) | {b})
-    return 0.0 if near > most else 1 - 0.08 * near
+    near = min(distance(x, y, most) for x in full_names(a, full_a) | {a} for y in full_names(b, full_b) | {b})
+    if near > most:
+        x, y = sorted((a, b), key=len)
+        return 0.8 if len(x) > 1 and y.startswith(x) else 0.0
+    return 1 - 0.08 * near
+
+
+def monge_elkan(a: list[str], b: list[str]) -> float:
+    """Mean over the words of ``a``, each with its best partner in ``b``."""
+    return sum(max(winkler(p, q) for q in b) for p in a) / len(a)
 
 
 def family_likeness(a: str, b: str) -> float:
-    """Monge-Elkan mean over the words, each with its best partner; 0 beyond two edits in all."""
+    """Monge-Elkan similarity of the words, or of the names written as one word; 0 if it is small, or beyond two edits in all."""
     if a == b:
         return 1.0
     x, y = a.split(" "), b.split(" ")
-    if len(x) != len(y):
-        return 0.0 if distance(a.replace(" ", ""), b.replace(" ", ""), 1) > 1 else 0.95
+    one, two = "".join(x), "".join(y)
+    like = max(monge_elkan(x, y), 0.95 * winkler(one, two)) if len(x) == len(y) else 0.95 if distance(one, two, 1) <= 1 else 0.0
+    if like < ELKAN:
+        return 0.0
     most = 1 if len(a) < 6 else 2
-    if distance(a, b, most) > most and distance(" ".join(sorted(x)), " ".join(sorted(y)), most) > most:
+    if len(x) == len(y) and distance(a, b, most) > most and distance(" ".join(sorted(x)), " ".join(sorted(y)), most) > most:
         return 0.0
-    return sum(max(winkler(p, q) for q in y) for p in x) / len(x)
+    return like
 
 
 def bands(family: str, salt: str) -> list[int]:
     """Keys of the MinHash bands of the padded q-grams."""
     s = f"{'#' * (Q - 1)}{family}{'#' * (Q - 1)}"
     grams = np.array([xxhash.xxh3_64_intdigest(s[i : i + Q]) for i in range(len(s) - Q + 1)], dtype=np.uint64)
-    mins = [int((grams * np.uint64(m) + np.uint64(c) >> np.uint64(7)).min()) for m, c in _PERMS]
-    return [xxhash.xxh3_64_intdigest(f"{salt}|{b}|{mins[b * ROWS : (b + 1) * ROWS]}") - (1 << 63) for b in range(BANDS)]
+    mins = (grams[:, None] * _FACTORS + _TERMS >> np.uint64(7)).min(axis=0)
+    rows, head = mins.reshape(BANDS, ROWS), salt.encode() + b"|"
+    return [xxhash.xxh3_64_intdigest(head + b.to_bytes(2, "big") + rows[b].tobytes()) - (1 << 63) for b in range(BANDS)]
 
 
 _R = np.random.default_rng(11)
-_PERMS = [(int(m) | 1, int(c)) for m, c in _R.integers(1, 2**63, size=(BANDS * ROWS, 2))]
+_NUMBERS = _R.integers(1, 2**63, size=(BANDS * ROWS, 2)).astype(np.uint64)
+_FACTORS, _TERMS = _NUMBERS[:, 0] | np.uint64(1), _NUMBERS[:, 1]
 
 _PARSED = T.StructType([T.StructField(c, T.StringType()) for c in ("kind", "given", "family", "party")] + [T.StructField("swappable", T.BooleanType())])
 
@@ -224,22 +242,33 @@ def _family(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 @F.pandas_udf(T.DoubleType())
-def _given(kind: pd.Series, a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([(1.0 if x == y else 0.6 if not x or not y else 0.0) if k == "o" else given_likeness(x, y) for k, x, y in zip(kind, a, b)], dtype=float)
+def _given(kind: pd.Series, a: pd.Series, b: pd.Series, fa: pd.Series, fb: pd.Series) -> pd.Series:
+    return pd.Series([(1.0 if x == y else 0.6 if not x or not y else 0.0) if k == "o" else given_likeness(x, y, () if f is None else f, () if g is None else g) for k, x, y, f, g in zip(kind, a, b, fa, fb)], dtype=float)
 
 
 @F.pandas_udf(T.IntegerType())
-def _complete(kind: pd.Series, given: pd.Series, party: pd.Series) -> pd.Series:
-    def one(k: str, g: str, p: str) -> int:
+def _complete(kind: pd.Series, given: pd.Series, party: pd.Series, full: pd.Series) -> pd.Series:
+    def one(k: str, g: str, p: str, f) -> int:
         if k == "o":
             return 2 + bool(g)
-        return (0 if not g else 1 if g.endswith(".") or len(full_names(g)) > 1 else 2) * 2 + bool(p)
+        return (0 if not g else 1 if g.endswith(".") or full_names(g, () if f is None else list(f)) != {g} else 2) * 2 + bool(p)
+
+    return pd.Series([one(*x) for x in zip(kind, given, party, full)], dtype="int32")
+
 
-    return pd.Series([one(*x) for x in zip(kind, given, party)], dtype="int32")
+def short_forms(forms: DataFrame) -> DataFrame:
+    """(given, full array<string>): given names that stand, with the same family name in the same list, beside a more frequent given name too often for chance."""
+    g = written(forms.where("kind = 'p' and length(given) > 1 and not endswith(given, '.')").select("block", "family", "given").distinct(), "given")
+    n = g.groupBy("given").agg(F.count("*").alias("n"))
+    a, b = g.withColumnRenamed("given", "a"), g.withColumnRenamed("given", "b")
+    # the given names of one family name in one list
+    both = a.join(b, ["block", "family"]).where("a <> b").groupBy("a", "b").agg(F.count("*").alias("times")).where(F.col("times") >= SHORT_TIMES)
+    both = both.join(n.select(F.col("given").alias("a"), F.col("n").alias("na")), "a").join(n.select(F.col("given").alias("b"), F.col("n").alias("nb")), "b")
+    return both.where((F.col("times") >= SHORT_SHARE * F.col("na")) & (F.col("nb") >= FULLER * F.col("na"))).groupBy(F.col("a").alias("given")).agg(F.array_sort(F.collect_list("b")).alias("full"))
 
 
 def forms_of(attendance: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(mention table mention_id, form), (forms form, block, kind, given, family, party, n).
+    """(mention table mention_id, form), (forms form, block, kind, given, family, party, n, full: full names learned for a short form).
 
     Rows of the same mention count once; mentions without a readable name stand alone
     and are in neither. Null committee or wp is a block of its own.
@@ -262,35 +291,39 @@ def forms_of(attendance: DataFrame) -> tuple[DataFrame, DataFrame]:
     m = m.withColumn("party", F.when(F.col("kind") == "p", F.regexp_replace("party", "ü", "ue")).otherwise(F.lit("")))
     m = written(m.select("mention_id", F.sha1(F.concat_ws("\x1f", "block", "kind", "given", "family", "party")).alias("form"), "block", "kind", "given", "family", "party"), "mentions")
     forms = m.groupBy("form").agg(*[F.first(c).alias(c) for c in ("block", "kind", "given", "family", "party")], F.count("*").alias("n"))
-    return m.select("mention_id", "form"), cut(forms)
+    forms = cut(forms)
+    return m.select("mention_id", "form"), cut(forms.join(short_forms(forms), "given", "left"))
 
 
 def likely_pairs(forms: DataFrame) -> DataFrame:
     """(a, b, score): pairs of different forms, each in both directions, that may stand for the same entity."""
     fam = forms.groupBy("block", "kind", "family").agg(F.sum("n").alias("n"))
     spread = fam.groupBy("kind", "family").agg(F.sum("n").alias("all"))
-    fam = cut(fam.join(spread, ["kind", "family"]))
-    keyed = written(fam.withColumn("band", F.explode(_bands(F.concat_ws("|", "block", "kind"), "family"))), "bands")
-    x = keyed.select("band", "block", "kind", F.col("family").alias("fa"), F.col("all").alias("na"), F.col("n").alias("ma"))
-    y = keyed.select("band", F.col("block").alias("bb"), F.col("kind").alias("kb"), F.col("family").alias("fb"), F.col("all").alias("nb"), F.col("n").alias("mb"))
-    met = x.join(y, "band").where("block = bb and kind = kb and fa < fb").select("block", "kind", "fa", "fb", "na", "nb", "ma", "mb").distinct()
+    fam = cut(fam.join(spread, ["kind", "family"]).withColumn("id", F.xxhash64("block", "kind", "family")))
+    # few narrow rows make much work: as many tasks as the session has
+    keyed = fam.select("id", "block", "kind", "family").repartition(part_count(forms), "id")
+    keyed = written(keyed.select("id", F.explode(_bands(F.concat_ws("|", "block", "kind"), "family")).alias("band")), "bands")
+    met = keyed.select("band", F.col("id").alias("a")).join(keyed.select("band", F.col("id").alias("b")), "band").where("a < b").select("a", "b").distinct()
+    of = lambda x, y: fam.select(F.col("id").alias(x), F.col("block").alias(f"b{y}"), F.col("kind").alias(f"k{y}"), F.col("family").alias(f"f{y}"), F.col("all").alias(f"n{y}"), F.col("n").alias(f"m{y}"))
+    met = met.join(of("a", "a"), "a").join(of("b", "b"), "b").where("ba = bb and ka = kb").select(F.col("ba").alias("block"), F.col("ka").alias("kind"), "fa", "fb", "na", "nb", "ma", "mb")
+    met = met.repartition(part_count(forms))
     # a spelling found often, here and all over, is a name of its own, not an error for the other
     rare = (F.least("na", "nb") * 4 <= F.greatest("na", "nb")) | (F.least("ma", "mb") <= 2)
     like = met.withColumn("like", _family("fa", "fb")).where((F.col("like") > 0) & rare)
     like = like.select("block", "kind", "fa", "fb", "like")
     both = like.unionByName(like.select("block", "kind", F.col("fb").alias("fa"), F.col("fa").alias("fb"), "like"))
     links = cut(both.unionByName(fam.select("block", "kind", F.col("family").alias("fa"), F.col("family").alias("fb"), F.lit(1.0).alias("like"))))
-    a = forms.select("block", "kind", F.col("family").alias("fa"), F.col("form").alias("a"), F.col("given").alias("ga"), F.col("party").alias("pa"))
-    b = forms.select("block", "kind", F.col("family").alias("fb"), F.col("form").alias("b"), F.col("given").alias("gb"), F.col("party").alias("pb"))
+    a = forms.select("block", "kind", F.col("family").alias("fa"), F.col("form").alias("a"), F.col("given").alias("ga"), F.col("party").alias("pa"), F.col("full").alias("la"))
+    b = forms.select("block", "kind", F.col("family").alias("fb"), F.col("form").alias("b"), F.col("given").alias("gb"), F.col("party").alias("pb"), F.col("full").alias("lb"))
     pairs = links.join(a, ["block", "kind", "fa"]).join(b, ["block", "kind", "fb"]).where("a <> b and (pa = pb or pa = '' or pb = '')")
-    pairs = pairs.withColumn("g", _given("kind", "ga", "gb"))
+    pairs = pairs.withColumn("g", _given("kind", "ga", "gb", "la", "lb"))
     score = (F.col("like") + F.col("g")) / 2 + F.when((F.col("pa") == F.col("pb")) & (F.col("pa") != ""), 0.1).otherwise(0.0)
     return cut(pairs.where((F.col("g") > 0) & ((F.col("like") + F.col("g")) / 2 >= MIN_SCORE)).select("a", "b", score.alias("score")))
 
 
 def star_clusters(forms: DataFrame, pairs: DataFrame) -> DataFrame:
     """(form, centre). A form is a centre if no free neighbour is more complete or better supported; the others go to the nearest centre."""
-    rank = F.struct(_complete("kind", "given", "party").alias("c"), F.col("n"), F.col("form"))
+    rank = F.struct(_complete("kind", "given", "party", "full").alias("c"), F.col("n"), F.col("form"))
     free = cut(forms.select("form", rank.alias("rank")))
     done: DataFrame | None = None
     while not free.isEmpty():

@@ -207,6 +207,39 @@ def test_given_names():
     assert names.parsed("Sandmeißner, H.")[1:3] == ("h.", "sandmeissner") and names.parsed("Dr.Abgeordnete(r) Bornfuß (NDL)")[1:4] == ("", "bornfuss", "ndl")
 
 
+def test_short_forms_are_learned(spark):
+    rnd = random.Random(24)
+    part = lambda: "".join(rnd.choice("bdfgklmnrst") + rnd.choice("aeiou") for _ in range(4))
+    rows = []
+    for i in range(24):
+        f = part()
+        rows += [(f"Quirinus {f}",), (f"Zacki {f}" if i < 8 else f"Quirinus {f}",), (f"Alma {part()}",)]
+    d = frame(spark, [(i, "s", "ABC", 1, n.title(), None, None) for i, (n,) in enumerate(rows)], "mention_id bigint, stem string, committee string, wp int, full_name string, role string, surname string")
+    of = {r["mention_id"]: r["entity"] for r in names.linked(d).collect()}
+    assert all(of[3 * i] == of[3 * i + 1] == 3 * i and of[3 * i + 2] == 3 * i + 2 for i in range(24))
+
+
+def test_typed_names_recall(spark):
+    """Single typing errors anywhere in a name: every variant goes to its person, against brute force over all pairs."""
+    rnd = random.Random(25)
+    part = lambda: "".join(rnd.choice("bdfgklmnrst") + rnd.choice("aeiou") for _ in range(5))
+    rows, want = [], {}
+    for p in range(150):
+        given, family = part(), part()
+        for _ in range(4):
+            x = f"{given} {family}"
+            if rows and _:
+                i = rnd.randrange(1, len(x) - 1)
+                x = rnd.choice([x[:i] + x[i + 1 :], x[:i] + rnd.choice("abcdefg") + x[i:], x]) if " " not in x[i - 1 : i + 1] else x
+            want[len(rows)] = p
+            rows.append((len(rows), "s", "ABC", 1, x.title(), None, None))
+    d = frame(spark, rows, "mention_id bigint, stem string, committee string, wp int, full_name string, role string, surname string")
+    of = {r["mention_id"]: r["entity"] for r in names.linked(d).collect()}
+    pairs = [(a, b) for a in want for b in want if a < b and want[a] == want[b]]
+    assert sum(of[a] == of[b] for a, b in pairs) >= 0.97 * len(pairs)
+    assert all(want[i] == want[e] for i, e in of.items())
+
+
 def test_bands_recall():
     rnd = random.Random(2)
     met = n = 0
