@@ -25,7 +25,7 @@ from ._common import cut, part_count, read, written
 
 # --- fixed values: widely known German short forms of given names; others are learned from the lists themselves ----
 NICKNAMES = {
-    "alex": "alexandra alexander", "andi": "andreas andrea", "anni": "anna", "basti": "sebastian", "benni": "benjamin", "bernd": "bernhard", "betti": "elisabeth", "burgl": "walburga", "chris": "christian christiane", "christl": "christiane christina",
+    "alex": "alexandra alexander", "andi": "andreas andrea", "anni": "anna", "basti": "sebastian", "benni": "benjamin", "bernd": "bernhard", "betti": "elisabeth", "burgl": "walburga", "charly": "charlotte karl", "chris": "christian christiane", "christl": "christiane christina",
     "conny": "cornelia", "doro": "dorothea", "elli": "elisabeth", "else": "elisabeth", "evi": "eva", "ferdl": "ferdinand", "fine": "josephine", "flori": "florian", "franzi": "franziska", "fritz": "friedrich", "gabi": "gabriele", "gerd": "gerhard",
     "gitti": "brigitte", "grete": "margarete", "gretel": "margarete", "gustl": "august auguste", "hannes": "johannes", "hans": "johannes", "heidi": "adelheid", "heiner": "heinrich", "heinz": "heinrich", "hias": "matthias", "inge": "ingeborg", "jochen": "joachim",
     "josi": "josephine", "jupp": "josef", "kathi": "katharina", "kati": "katharina", "klaus": "nikolaus", "leni": "helene magdalena", "leo": "leonhard leopold", "lilli": "elisabeth", "lisa": "elisabeth", "lisbeth": "elisabeth", "liesel": "elisabeth", "loni": "apollonia",
