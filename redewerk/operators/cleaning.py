@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +26,10 @@ FOOTNOTE = r"(?m)^\d{1,3}\s+(?=.*(?:Vgl\.|Anlage)).*$"
 FOOTNOTE_MARK = r"(?m)([.!?])[ \t]+\d{1,3}[ \t]*$"
 ATTACHMENT_MARK = r"[ \t]*\(Anlage\)"
 NUMBER_LINE = r"(?m)^[ \t]*(?:#{1,6}[ \t]*)?P-[A-ZÄÖÜ]{2,6}[ \t]+\d{1,2}/\d{1,3}[ \t]*$\n?"
+ATTACHMENTS = r"(?ims)^##\s*Anlage.*\z"
+PAGE_TABLE = (r"(?m)^\|[^\n]*", r"[^\n]*S\.\s*\d+[^\n]*\|\n\|[-:\s|]+\|\n\|[^\n]*\|[ \t]*\n?")
+NAME_LINE = (r"(?m)^[ \t]*(?:#{1,6}[ \t]*)?", r"[ \t]*$\n?")
+CODE_END = (r"(?m)[ \t]+", r"\.?[ \t]*$")
 MULTI_SPACE = r"(?<=\S) {2,}(?=\S)"
 SPLIT_HYPHEN = r"(?<=[a-zäöüß])- +(?!(?:und|oder|bzw\.?|sowie)\b)(?=[a-zäöüß])"
 
@@ -36,22 +42,30 @@ def cover_and_body(text: Column) -> tuple[Column, Column, Column]:
 
 
 def without_attachments(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?ims)^##\s*Anlage.*\z", "")
+    return F.regexp_replace(c, ATTACHMENTS, "")
+
+
+def _any(names: Sequence[str]) -> str:
+    """A pattern for any of the names as they are."""
+    return "(?:" + "|".join(r"\Q" + n.replace(r"\E", "") + r"\E" for n in names) + ")"
 
 
-def without_page_tables(c: Column, institution: str = r"\p{Lu}\p{L}+tag [^\n|]+") -> Column:
-    return F.regexp_replace(c, rf"(?m)^\|[^\n]*{institution}[^\n]*S\.\s*\d+[^\n]*\|\n\|[-:\s|]+\|\n\|[^\n]*\|[ \t]*\n?", "")
+def without_page_tables(c: Column, institutions: Sequence[str] = ()) -> Column:
+    """Page footers set as a table of three rows that begins with the name of an institution and a page number."""
+    return F.regexp_replace(c, PAGE_TABLE[0] + _any(institutions) + PAGE_TABLE[1], "") if institutions else c
 
 
-def without_institution_lines(c: Column, institution: str = r"\p{Lu}\p{L}+tag \p{Lu}\p{L}+") -> Column:
-    return F.regexp_replace(F.regexp_replace(c, rf"(?m)^[ \t]*(?:#{{1,6}}[ \t]*)?{institution}[ \t]*$\n?", ""), NUMBER_LINE, "")
+def without_institution_lines(c: Column, institutions: Sequence[str] = ()) -> Column:
+    """Lines that hold the name of an institution alone, and lines with the number of the minutes."""
+    x = F.regexp_replace(c, NAME_LINE[0] + _any(institutions) + NAME_LINE[1], "") if institutions else c
+    return F.regexp_replace(x, NUMBER_LINE, "")
 
 
 def without_codes(c: Column) -> Column:
     """Lines that hold a committee code alone go, and these codes (longest first) at the ends of other lines."""
     codes = F.array_distinct(F.regexp_extract_all(c, F.lit(CODE_LINE), F.lit(1)))
     by_length = F.transform(F.array_sort(F.transform(codes, lambda x: F.struct((-F.length(x)).alias("n"), x.alias("x")))), lambda s: s["x"])
-    return F.aggregate(by_length, F.regexp_replace(c, CODE_LINE, ""), lambda t, code: F.regexp_replace(t, F.concat(F.lit(r"(?m)[ \t]+"), code, F.lit(r"\.?[ \t]*$")), F.lit("")))
+    return F.aggregate(by_length, F.regexp_replace(c, CODE_LINE, ""), lambda t, code: F.regexp_replace(t, F.concat(F.lit(CODE_END[0]), code, F.lit(CODE_END[1])), F.lit("")))
 
 
 def without_footnotes(c: Column) -> Column:
@@ -71,12 +85,12 @@ def blank_lines_collapsed(c: Column) -> Column:
     return F.concat(F.btrim(F.regexp_replace(c, r"\n{3,}", "\n\n"), F.lit(" \n\t\r")), F.lit("\n"))
 
 
-def cleaned(body: Column) -> Column:
-    """All steps in their order. One pass is the contract; a second may change more."""
+def cleaned(body: Column, institutions: Sequence[str] = ()) -> Column:
+    """All steps in their order. One pass is the contract; a second may change more. institutions: names whose page furniture is taken out; nothing is guessed."""
     x = without_attachments(body)
-    x = without_page_tables(x)
+    x = without_page_tables(x, institutions)
     x = F.regexp_replace(x, PLAIN_FOOTER, "")
-    x = without_institution_lines(x)
+    x = without_institution_lines(x, institutions)
     x = F.regexp_replace(x, RATIFIED, "")
     x = F.regexp_replace(x, BULLET_TOP, "## $1")
     x = without_codes(x)
@@ -89,7 +103,7 @@ def cleaned(body: Column) -> Column:
     return blank_lines_collapsed(x)
 
 
-def clean_minutes(docs: DataFrame, text: str = "text") -> DataFrame:
+def clean_minutes(docs: DataFrame, text: str = "text", institutions: Sequence[str] = ()) -> DataFrame:
     """Adds ``cover``, ``body`` (cleaned, empty without the heading of the decisions) and ``matched``."""
     cover, body, matched = cover_and_body(F.col(text))
-    return docs.withColumns({"cover": cover, "matched": matched}).withColumn("body", F.when(matched, cleaned(body)).otherwise(F.lit("")))
+    return docs.withColumns({"cover": cover, "matched": matched}).withColumn("body", F.when(matched, cleaned(body, institutions)).otherwise(F.lit("")))

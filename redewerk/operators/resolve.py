@@ -40,8 +40,9 @@ def chair_votes(turns: DataFrame, people: DataFrame, keys: list[str]) -> DataFra
     """(keys, label, key, votes): for the label after a hand-off, the person whose surname stands last in it."""
     h = handoffs(turns, keys).select(*keys, "turn_ix", "next_label", F.posexplode(F.split(F.lower("text"), r"[^\p{L}\p{N}_\-]+")).alias("pos", "surname"))
     # surnames are single words: an equi-join instead of a search for each
-    p = people.where("n_same = 1 and length(surname) >= 3").select(*keys, "surname", "key")
-    hit = h.join(p, [*keys, "surname"]).groupBy(*keys, "turn_ix", "next_label").agg(F.max_by("key", "pos").alias("key"))
+    # persons without session are known to all sessions
+    on = [*[k for k in keys if k in people.columns], "surname"]
+    hit = h.join(people.where("n_same = 1 and length(surname) >= 3").select(*on, "key"), on).groupBy(*keys, "turn_ix", "next_label").agg(F.max_by("key", "pos").alias("key"))
     return hit.groupBy(*keys, F.col("next_label").alias("label"), "key").agg(F.count("*").alias("votes"))
 
 

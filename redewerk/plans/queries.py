@@ -121,14 +121,13 @@ def pinned_split(t):
     return records(t).where("stem is not null").select("stem", X.pinned_number(k).alias("number"), X.pinned_split(k).alias("split")).distinct()
 
 
-@query("rec_id:i title:s transcript:s", rf"""select rec_id, regexp_extract("user", '(?s)TOP: ([^\n]*)', 1) as title, "user" as transcript from {REC}""")
+_FRAME = [x.replace("'", "''") for x in dataset.FRAME]
+
+
+@query("rec_id:i title:s message:s", rf"""select rec_id, title, '{_FRAME[0]}' || title || '{_FRAME[1]}' || "user" || '{_FRAME[2]}' as message from (select rec_id, "user", regexp_extract("user", '(?s)TOP: ([^\n]*)', 1) as title from {REC})""")
 def framed_message(t):
     r = records(t).withColumn("title", F.regexp_extract("user", r"TOP: ([^\n]*)", 1))
-    made = dataset.user_message(F.col("title"), F.col("user"))
-    back = F.regexp_extract(made, r"(?s)\n\nTranskript:\n(.*)\n\nZusammenfassung:\z", 1)
-    # the frame is built and read back: what was put in must come out
-    deep = F.when(made.endswith(F.concat(F.lit("\n\nTranskript:\n"), F.col("user"), F.lit("\n\nZusammenfassung:"))), F.col("user")).otherwise(back)
-    return r.select("rec_id", "title", deep.alias("transcript"))
+    return r.select("rec_id", "title", dataset.user_message(F.col("title"), F.col("user")).alias("message"))
 
 
 @query("rec_id:i json:s", f"""select rec_id, 'system,user,assistant|' || coalesce(stem, '-') || '|' || len({WORDS.format('"user"')}) || '|' || len({WORDS.format("answer")}) as json from {REC}""")
@@ -302,26 +301,33 @@ def section_slices(t):
 
 @query(
     "stem:s pt:i n:i",
-    f"""select stem, pt, count(*) as n from (select *, coalesce(max(no) over (partition by stem, pt order by ord rows between unbounded preceding and 1 preceding), 0) as m
-    from (select stem, pt, ord, nullif(regexp_extract(text, '(\\d+)', 1), '')::bigint as no from {SEG})) where no > m group by all""",
+    f"""select stem, pt, count(*) as n from (select *, coalesce(max(no) over (partition by stem, pt order by ord, k rows between unbounded preceding and 1 preceding), 0) as m
+    from (select stem, pt, ord, unnest(regexp_extract_all(text, '\\d+'))::bigint as no, unnest(range(len(regexp_extract_all(text, '\\d+')))) as k from {SEG})) where no > m group by all""",
 )
 def monotonic_sections(t):
-    s = segments(t).withColumn("no", F.nullif(F.regexp_extract("text", r"(\d+)", 1), F.lit("")).cast("bigint"))
-    return sections.rising(s, SEG_KEYS, ["ord"], "no").groupBy(*SEG_KEYS).agg(F.count("*").alias("n"))
+    s = segments(t).select("stem", "pt", "ord", F.posexplode(F.regexp_extract_all("text", F.lit(r"(\d+)"), F.lit(1))).alias("k", "no")).withColumn("no", F.col("no").cast("bigint"))
+    return sections.rising(s, SEG_KEYS, ["ord", "k"], "no").groupBy(*SEG_KEYS).agg(F.count("*").alias("n"))
 
 
 @query(
     "doc_id:i top:i title:s",
     rf"""select doc_id, top, case when x <> '' then x else 'TOP ' || top end as title from (select doc_id, top, trim(regexp_replace(regexp_extract(text, '(?im)^#*\s*Zu\s+TOP\s*' || top || '\s+(.+)$', 1), '\s+', ' ', 'g'), ' :-–') as x
-    from (select doc_id, regexp_replace(text, '(?im)^(## Zu TOP [02468]):', '\1', 'g') as text, unnest([1, 2, 3, 4]) as top from documents where text is not null))""",
+    from (select doc_id, regexp_replace(text, '(?im)^(## Zu TOP [02468]):', '\1', 'g') as text, unnest(list_distinct(list_transform(regexp_extract_all(text, '(?im)^#*\s*Zu\s+TOP\s*(\d{{1,9}})', 1), lambda x: x::int))) as top from documents where text is not null))""",
 )
 def section_titles(t):
     d = t("documents").where("text is not null").withColumn("text", F.regexp_replace("text", r"(?im)^(## Zu TOP [02468]):", "$1"))
-    d = d.withColumn("top", F.explode(F.array(*[F.lit(i) for i in (1, 2, 3, 4)])))
+    d = d.withColumn("top", F.explode(F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(r"(?im)^#*\s*Zu\s+TOP\s*(\d{1,9})"), F.lit(1)), lambda x: x.cast("int")))))
     return d.select("doc_id", "top", sections.title_of(F.col("text"), F.col("top")).alias("title"))
 
 
-_TWO = "(select stem, min(text) as text from documents where kind = '{0}' and stem is not null and text is not null group by 1)"
+_TWO = """(select stem, string_agg(text, chr(10) order by ts, doc_id) as text from (select stem, text, min(coalesce(created_at, '0001-01-01'::timestamp)) as ts, arg_min(doc_id, struct_pack(a := coalesce(created_at, '0001-01-01'::timestamp), b := doc_id)) as doc_id
+ from documents where kind = '{0}' and stem is not null and text is not null group by stem, text) group by stem)"""
+
+
+def _together(t, kind):
+    """All different documents of a kind of a sitting as one text, the oldest first."""
+    d = t("documents").where((F.col("kind") == kind) & F.col("stem").isNotNull() & F.col("text").isNotNull()).groupBy("stem", "text").agg(F.min(F.struct("created_at", "doc_id")).alias("at"))
+    return d.groupBy("stem").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "text"))), lambda x: x["text"]), "\n").alias("text"))
 
 
 @query(
@@ -329,11 +335,43 @@ _TWO = "(select stem, min(text) as text from documents where kind = '{0}' and st
     f"select coalesce(a.stem, b.stem) as stem, coalesce(a.top, b.top) as top, a.top is not null and b.top is not null as both from {_SECT.format(k='stem', c='text', t=_TWO.format('protocol'))} a full join {_SECT.format(k='stem', c='text', t=_TWO.format('report'))} b on a.stem = b.stem and a.top = b.top",
 )
 def two_pass_merge(t):
-    one = lambda kind: sections.minutes_sections(t("documents").where(f"kind = '{kind}' and stem is not null and text is not null").groupBy("stem").agg(F.min("text").alias("text")), ["stem"])
+    one = lambda kind: sections.minutes_sections(_together(t, kind), ["stem"])
     j = one("protocol").select("stem", "top", F.lit(1).alias("x")).join(one("report").select("stem", "top", F.lit(1).alias("y")), ["stem", "top"], "full")
     return j.select("stem", "top", (F.col("x").isNotNull() & F.col("y").isNotNull()).alias("both"))
 
 
+_HEAD = r"(?i)^#{1,6}[ \t]*Zu\s+TOP\s*(\d+)[ \t]*:?[ \t]*([^\n]*)"
+_BLANKS = "' ' || chr(10) || chr(9)"
+_PARTS = f"""(select * exclude (inline, paras, n), case when has then trim(regexp_replace(concat_ws(' ', inline, nullif(array_to_string(paras[1:n], ' '), '')), '\\s+', ' ', 'g'), ' :-–') else '' end as title,
+ case when has then trim(array_to_string(paras[n + 1:], chr(10) || chr(10)), {_BLANKS}) else trim(section, {_BLANKS}) end as body
+ from (select *, case when inline = '' then 0 else coalesce(list_position(list_transform(paras, lambda p, i: i <= 3 and trim(p, {_BLANKS}) <> '' and length(trim(p, {_BLANKS})) <= 120 and not starts_with(trim(p, {_BLANKS}), '#')
+   and not regexp_matches(trim(p, {_BLANKS}), '[.!?]$') and not regexp_matches(trim(p, {_BLANKS}), '{sections.TITLE_STOP}')), false) - 1, len(paras)) end as n
+  from (select *, regexp_matches(section, '{_HEAD}') as has, trim(regexp_extract(section, '{_HEAD}', 2)) as inline, string_split_regex(ltrim(regexp_replace(section, '{_HEAD}', ''), chr(10)), '\\n\\s*\\n') as paras from {{0}})))"""
+
+
+@query("doc_id:i top:i title:s body:s", "select doc_id, top, title, body from " + _PARTS.replace("{0}", "(select * from " + _SECT.format(k="doc_id", c="text", t=_DOCS) + ")"))
+def section_parts(t):
+    title, body = sections.heading_and_body(F.col("section"))
+    return sections.minutes_sections(t("documents").where("text is not null"), ["doc_id"]).select("doc_id", "top", title.alias("title"), body.alias("body"))
+
+
+_BOTH = "(select doc_id, text as decision, replace(replace(text, 'Zu TOP 1:', 'Zu TOP 5:'), '## Zu TOP 2:', '## Zu TOP 2') as discussion from documents where text is not null)"
+_PASS = {c: "(select * from " + _PARTS.replace("{0}", "(select * from " + _SECT.format(k="doc_id", c=c, t=_BOTH) + ")") + ")" for c in ("decision", "discussion")}
+
+
+@query(
+    "doc_id:i top:i section:s",
+    rf"""select doc_id, top, concat_ws(chr(10) || chr(10), rtrim('## Zu TOP ' || top || ':' || case when title <> '' then ' ' || title else '' end), nullif(bb, ''), case when rb <> '' then case when bb <> '' then 'Aus der Beratung' || chr(10) || chr(10) || rb else rb end end) as section
+    from (select coalesce(a.doc_id, b.doc_id) as doc_id, coalesce(a.top, b.top) as top, case when coalesce(b.title, '') <> '' then b.title else coalesce(a.title, '') end as title, coalesce(a.body, '') as bb, coalesce(b.body, '') as rb
+    from {_PASS["decision"]} a full join {_PASS["discussion"]} b on a.doc_id = b.doc_id and a.top = b.top)""",
+)
+def merged_passes(t):
+    """Minutes with both passes: the sections of the decisions, and those of the discussion under other numbers and titles."""
+    other = F.replace(F.replace("text", F.lit("Zu TOP 1:"), F.lit("Zu TOP 5:")), F.lit("## Zu TOP 2:"), F.lit("## Zu TOP 2"))
+    x = F.concat(F.lit("## Beschlüsse und Festlegungen\n\n"), "text", F.lit("\n\n## Aus der Beratung\n\n"), other, F.lit("\n\n## Anlage 1\n\n## Zu TOP 99: weg"))
+    return sections.merged_sections(t("documents").where("text is not null").select("doc_id", x.alias("text")), ["doc_id"])
+
+
 _AG = r"""(select {k}, top, arg_min(title, i) as title from (select {k}, i, coalesce(nullif(regexp_extract(l, '^-\s*(\d+)(?:\.\d+)?\s+(.+)$', 1), ''), nullif(regexp_extract(l, '^\|\s*(\d+)(?:\.\d+)?\s*\|\s*([^|]+?)\s*\|', 1), ''),
  nullif(regexp_extract(l, '^(\d+)\.\s+(\S.*)$', 1), ''), nullif(regexp_extract(l, '^(\d+)\s+(\S.*)$', 1), ''))::int as top,
  trim(coalesce(nullif(regexp_extract(l, '^-\s*(\d+)(?:\.\d+)?\s+(.+)$', 2), ''), nullif(regexp_extract(l, '^\|\s*(\d+)(?:\.\d+)?\s*\|\s*([^|]+?)\s*\|', 2), ''), nullif(regexp_extract(l, '^(\d+)\.\s+(\S.*)$', 2), ''), regexp_extract(l, '^(\d+)\s+(\S.*)$', 2))) as title
@@ -351,9 +389,8 @@ def agenda_items(t):
     f"select coalesce(a.stem, b.stem) as stem, coalesce(a.top, b.top) as top, case when b.top is null then 'cover' when a.top is null then 'minutes' else 'both' end as side from {_AG.format(k='stem', t=_TWO.format('agenda'))} a full join {_SECT.format(k='stem', c='text', t=_TWO.format('protocol'))} b on a.stem = b.stem and a.top = b.top",
 )
 def agenda_difference(t):
-    one = lambda kind: t("documents").where(f"kind = '{kind}' and stem is not null and text is not null").groupBy("stem").agg(F.min("text").alias("text"))
-    a = agenda.parsed_agenda(one("agenda"), ["stem"]).select("stem", "top", F.lit(1).alias("x"))
-    b = sections.minutes_sections(one("protocol"), ["stem"]).select("stem", "top", F.lit(1).alias("y"))
+    a = agenda.parsed_agenda(_together(t, "agenda"), ["stem"]).select("stem", "top", F.lit(1).alias("x"))
+    b = sections.minutes_sections(_together(t, "protocol"), ["stem"]).select("stem", "top", F.lit(1).alias("y"))
     return a.join(b, ["stem", "top"], "full").select("stem", "top", F.when(F.col("y").isNull(), "cover").when(F.col("x").isNull(), "minutes").otherwise("both").alias("side"))
 
 
@@ -403,12 +440,45 @@ def footnotes_removed(t):
     return t("documents").where("text is not null").select("doc_id", cleaning.without_footnotes(x).alias("text"))
 
 
-@query("doc_id:i body:s matched:b")
+_INSTITUTION = "Kreistag Nordmoor"
+_FURNITURE = [
+    "| Kreistag Nordmoor | Protokoll | S. 3 |", "|---|---|---|", "| a | b | c |", "HA", "## Kreistag Nordmoor", "P-HA 8/22", "Montag Vormittag", "| Tag | Betrag im Kreistag Anderswo | S. 5 |", "| --- | --- |", "| x | y |", "",
+    "ABJS", "12. (öffentliche) Sitzung des Ausschusses", "", "05.06.2037", "(Dieses Protokoll wurde durch den Ausschuss gemäß § 83 GO bestätigt.)", "- Zu TOP 9", "<!-- image -->", "##", "Siehe [Vorlage](https://beispiel.test/a).",
+    "12 Vgl. Anlage 3", "Das kostet viel. 7", "Die  Schul- kinder und Bildungs- und Sport (Anlage)", "SBü", "Ende im HA", "Noch eines ABJS.", "## Anlage 1", "weg",
+]
+
+
+def _sql_lines(xs):
+    return " || chr(10) || ".join("'" + x.replace("'", "''") + "'" for x in xs)
+
+
+def _clean_sql(x: str) -> str:
+    """The steps of the cleaner in order, each as one more layer."""
+    c = cleaning
+    q = lambda p: "'" + p.replace("(?U)", "").replace("'", "''") + "'"
+    step = lambda x, p, r="": f"regexp_replace({x}, {q(p)}, '{r}', 'g')"
+    x = step(x, c.ATTACHMENTS)
+    x = step(x, c.PAGE_TABLE[0] + _INSTITUTION + c.PAGE_TABLE[1])
+    x = step(x, c.PLAIN_FOOTER)
+    x = step(step(x, c.NAME_LINE[0] + _INSTITUTION + c.NAME_LINE[1]), c.NUMBER_LINE)
+    x = step(step(x, c.RATIFIED), c.BULLET_TOP, r"## \1")
+    return x
+
+
+_CLEAN = rf"""(select doc_id, trim(regexp_replace(y, '\n{{3,}}', chr(10) || chr(10), 'g'), ' ' || chr(10) || chr(9) || chr(13)) || chr(10) as body from (select doc_id,
+ replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(z, '(\S) {{2,}}(\S)', '\1 \2', 'g'), '(\S) {{2,}}(\S)', '\1 \2', 'g'), '([a-zäöüß])- +(und|oder|bzw\.?|sowie)\b', '\1-' || chr(1) || '\2', 'g'), '([a-zäöüß])- +([a-zäöüß])', '\1\2', 'g'), '-' || chr(1), '- ') as y
+ from (select doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(w, '{cleaning.IMAGE}', '', 'g'), '\[([^\]]*)\]\([^)]*\)', '\1', 'g'), '(?m)^\d{{1,3}}\s+.*(?:Vgl\.|Anlage).*$', '', 'g'), '{cleaning.FOOTNOTE_MARK}', '\1', 'g'), '{cleaning.ATTACHMENT_MARK}', '', 'g'), '{cleaning.EMPTY_HEADING}', '', 'g') as z
+ from (select doc_id, list_reduce(list_prepend(regexp_replace(v, '{cleaning.CODE_LINE}', '', 'g'), list_sort(list_transform(list_distinct(regexp_extract_all(v, '{cleaning.CODE_LINE}', 1)), lambda x: printf('%03d', 999 - length(x)) || x))),
+  lambda a, x: regexp_replace(a, '{cleaning.CODE_END[0]}' || substr(x, 4) || '{cleaning.CODE_END[1]}', '', 'g')) as w
+ from (select doc_id, {_clean_sql("x")} as v from (select doc_id, '## Beschlüsse und Festlegungen' || chr(10) || chr(10) || text || chr(10) || {_sql_lines(_FURNITURE)} as x from documents where text is not null))))))"""
+
+
+@query("doc_id:i cover:s body:s matched:b", f"select doc_id, 'Deckblatt' || chr(10) || chr(10) as cover, body, true as matched from {_CLEAN} union all select doc_id, text, '', false from documents where text is not null")
 def clean_minutes(t):
-    page = F.lit("\n| Kreistag Nordmoor | Protokoll | S. 3 |\n|---|---|---|\n| a | b | c |\nHA\n")
-    x = F.concat(F.lit("Deckblatt\n\n## Beschlüsse und Festlegungen\n\n"), F.col("text"), page, F.lit("Ende im HA\n\n## Anlage 1\n\nweg"))
-    d = t("documents").where("text is not null").withColumn("text", x)
-    return cleaning.clean_minutes(d)
+    """Texts with all furniture the cleaner knows, and the same texts without the heading of the decisions."""
+    d = t("documents").where("text is not null").select("doc_id", "text")
+    x = F.concat(F.lit("Deckblatt\n\n## Beschlüsse und Festlegungen\n\n"), "text", F.lit("\n" + "\n".join(_FURNITURE)))
+    return cleaning.clean_minutes(d.select("doc_id", x.alias("text")).unionByName(d), institutions=[_INSTITUTION])
 
 
 # ------------------------------------------------------------------ turns and segments
@@ -482,10 +552,10 @@ def relabelled_tags(t):
 
 def _asr(t):
     s = segments(t)
-    return s.where("ord % 2 = 1").drop("speaker"), s.where("speaker is not null").withColumn("start", F.col("start") + 2.5).select(*SEG_KEYS, "start", "end", "speaker")
+    return s.drop("speaker"), s.where("speaker is not null").withColumn("start", F.col("start") + 2.5).select(*SEG_KEYS, "start", "end", "speaker")
 
 
-_ASR = f"""(select * from {SEG} where ord % 2 = 1)"""
+_ASR = SEG
 _DIA = f"""(select stem, pt, start + 2.5 as start, "end", speaker from {SEG} where speaker is not null)"""
 _OV = f"""(select stem, pt, ord, speaker from (select a.stem, a.pt, a.ord, d.speaker, row_number() over (partition by a.stem, a.pt, a.ord order by least(a."end", d."end") - greatest(a.start, d.start) desc, d.start, d."end", d.speaker desc) as rn
  from {_ASR} a join {_DIA} d on a.stem = d.stem and a.pt = d.pt and d.start < a."end" and d."end" > a.start and d."end" > d.start and a.start is not null) where rn = 1)"""
@@ -508,7 +578,14 @@ def nearest_fallback(t):
     return intervals.assigned(a, d, SEG_KEYS)
 
 
-@query("stem:s pt:i ord:i window:i")
+def budget_sql(rows: str, keys: str, order: str, cost: str, budget: int, floor: int = 0) -> str:
+    """Windows by a fold over each session's costs in order; the state of each row is the one before with a row added."""
+    return f"""(select {keys}, unnest(os) as {order}, unnest(ws) as "window" from (select {keys}, os, list_reduce(list_prepend([-1::bigint, 0], list_transform(cs, lambda c: [c])), lambda a, x:
+      case when a[1] < 0 or a[2] + x[1] > {budget} then list_concat([a[1] + 1, {floor} + x[1]], a[3:], [a[1] + 1]) else list_concat([a[1], a[2] + x[1]], a[3:], [a[1]]) end)[3:] as ws
+      from (select {keys}, list({order} order by {order}) as os, list(({cost})::bigint order by {order}) as cs from {rows} group by {keys})))"""
+
+
+@query("stem:s pt:i ord:i window:i", "select * from " + budget_sql(f"(select stem, pt, ord, coalesce(text, '') as text from {SEG})", "stem, pt", "ord", "length(left(text, 300)) // 4 + 8", 200))
 def budget_tiling(t):
     return agenda.budget_windows(segments(t).withColumn("text", F.coalesce("text", F.lit(""))), SEG_KEYS, "ord", agenda.turn_cost(F.col("text")), 200)
 
@@ -586,10 +663,7 @@ _VOTES = rf"""(select stem, next_label as label, key, count(*) as votes from (se
 
 
 def _votes_by_surname(t):
-    h = resolve.handoffs(_speech(t), ["stem"]).select("stem", "turn_ix", "next_label", F.posexplode(F.split(F.lower("text"), r"[^\p{L}\p{N}_\-]+")).alias("pos", "surname"))
-    p = _known(t).where("n_same = 1 and length(surname) >= 3").select("surname", "key")
-    hit = h.join(p, "surname").groupBy("stem", "turn_ix", "next_label").agg(F.max_by("key", "pos").alias("key"))
-    return hit.groupBy("stem", F.col("next_label").alias("label"), "key").agg(F.count("*").alias("votes"))
+    return resolve.chair_votes(_speech(t), _known(t), ["stem"])
 
 
 @query("stem:s label:s key:s votes:i", f"select * from {_VOTES}")
@@ -643,33 +717,79 @@ def speaker_report(t):
 
 
 def _minutes(t):
-    a = t("attendance").where("full_name is not null").groupBy("stem").agg(F.array_sort(F.collect_set(F.concat(F.regexp_replace("full_name", r"\s*\(.*$", ""), F.lit(" (fraktionslos)")))).alias("n"))
-    return a.select("stem", F.concat(F.lit("Vorsitz:\n"), F.array_join("n", "\n"), F.lit("\nProtokoll: X")).alias("cover"), F.lit("").alias("body"))
+    """Minutes of which the cover names all who attend, with a party, and the body some again, with an office."""
+    a = t("attendance").where("full_name is not null").select("stem", F.regexp_replace("full_name", r"\s*\(.*$", "").alias("n"), F.col("role").isNull().alias("b"))
+    g = a.groupBy("stem").agg(F.array_sort(F.collect_set("n")).alias("c"), F.array_sort(F.collect_set(F.when(F.col("b"), F.col("n")))).alias("b"))
+    with_role = lambda c, r: F.transform(c, lambda x: F.concat(x, F.lit(r)))
+    return g.select("stem", F.concat(F.lit("Vorsitz:\n"), F.array_join(with_role("c", " (fraktionslos)"), "\n"), F.lit("\nProtokoll: X")).alias("cover"), F.array_join(with_role("b", " (Ministerium)"), ".\nEs spricht Frau ").alias("body"))
+
+
+_MIN = """(select stem, 'Vorsitz:' || chr(10) || array_to_string(list_transform(c, lambda x: x || ' (fraktionslos)'), chr(10)) || chr(10) || 'Protokoll: X' as cover, array_to_string(list_transform(b, lambda x: x || ' (Ministerium)'), '.' || chr(10) || 'Es spricht Frau ') as body
+ from (select stem, list_sort(list_distinct(list(n))) as c, coalesce(list_sort(list_distinct(list(n) filter (b))), []) as b from (select stem, regexp_replace(full_name, '\\s*\\([^\\n]*$', '') as n, role is null as b from attendance where full_name is not null) group by stem))""".replace("\\\\", "\\")
+_UNIT = people.NAME_UNIT.replace("'", "''")
+_OFFICES = "|".join(people.OFFICE_WORDS)
+_TRIMMED = "|".join([*(x.replace(".", r"\.") for x in people.TITLES), *people.PARTICLES])
+_UNITS = {c: f"unnest(regexp_extract_all({c}, '{_UNIT}', 1)) as u, unnest(regexp_extract_all({c}, '{_UNIT}', 2)) as r, unnest(range(len(regexp_extract_all({c}, '{_UNIT}', 1)))) as k" for c in ("cover", "body")}
+_PERSON = f"len(ts) between 1 and 5 and regexp_matches(ts[-1], '{_NT}') and len(list_filter(ts, lambda x: not (regexp_matches(x, '{_NT}') or lower(x) in ({_PARTICLES})))) = 0"
+_MENTIONS = rf"""(select * from (select stem, src, k, full_name, trim(r) as role, {_TOK} as ts, {_TOK0} as ts0 from (select stem, src, k, r, regexp_replace(trim(regexp_replace(u, '\s+', ' ', 'g')), '(?i)^(?:(?:{_OFFICES})(?:\s+|$))+', '') as full_name from
+ (select stem, 0 as src, k, trim(u) as u, r from (select stem, {_UNITS["cover"]} from {_MIN}) where regexp_matches(r, '{people.PARTY}') and not contains(lower(r), 'antrag')
+  union all select stem, 1, k, regexp_extract(trim(u), '(?i)((?:(?:{_TRIMMED})\s+)*(?:\S+\s+)?(?:(?:{_TRIMMED})\s+)*\S+)$', 1), r from (select stem, {_UNITS["body"]} from {_MIN}) where regexp_matches(r, '{people.OFFICE.replace("(?iu)", "(?i)")}'))))
+ where {_PERSON} and len(ts) >= 2)"""
+_GIVEN = "list_filter(list_transform(ts, lambda x: lower(x)), lambda x: x <> lower(ts[-1]))"
+_MERGED = f"""(select stem, surname, len(ps) as n_same, unnest(ps) as p from (select stem, surname, list_reduce(list([struct_pack(f := full_name, r := role, g := g)] order by src, k), lambda acc, x:
+ case when list_position(list_transform(acc, lambda p: list_has_all(p.g, x[1].g) or list_has_all(x[1].g, p.g)), true) is null then list_concat(acc, x)
+ else list_transform(acc, lambda p, i: case when i = list_position(list_transform(acc, lambda p: list_has_all(p.g, x[1].g) or list_has_all(x[1].g, p.g)), true)
+  then struct_pack(f := case when length(x[1].f) > length(p.f) then x[1].f else p.f end, r := case when p.r <> '' then p.r else x[1].r end, g := case when length(x[1].f) > length(p.f) then x[1].g else p.g end) else p end) end) as ps
+ from (select *, lower(ts[-1]) as surname, {_GIVEN} as g from {_MENTIONS}) group by stem, surname))"""
+_DIRECTORY = f"""(select stem, surname, full_name as "full", role, n_same, lower(array_to_string(case when len({_TOK}) > 0 then {_TOK} else {_TOK0} end, ' ')) as key from (select stem, surname, n_same, p.f as full_name, p.r as role from {_MERGED}))"""
+_CHAIRS = rf"""(select stem, key, row_number() over (partition by stem order by k) as rank from (select c.stem, d.key, min(c.k) as k from
+ (select stem, k, coalesce(lower((case when len({_TOK}) > 0 then {_TOK} else {_TOK0} end)[-1]), '') as surname from (select stem, k, u as full_name, r from (select stem, {_UNITS["cover"]} from {_MIN})) where regexp_matches(r, '{people.PARTY}')) c
+ join {_DIRECTORY} d on c.stem = d.stem and c.surname = d.surname and d.n_same = 1 group by 1, 2))"""
 
 
 def _protocols(t):
     """All different protocols of a sitting as one body, the oldest first."""
-    d = t("documents").where("kind = 'protocol' and stem is not null and text is not null").groupBy("stem", "text").agg(F.min(F.struct("created_at", "doc_id")).alias("at"))
-    return d.groupBy("stem").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "text"))), lambda x: x["text"]), "\n").alias("body"))
+    return _together(t, "protocol").withColumnRenamed("text", "body")
 
 
-@query("stem:s surname:s full:s role:s n_same:i")
+@query("stem:s surname:s full:s role:s n_same:i", f"select * from {_DIRECTORY}")
 def directory_fold(t):
     return people.directory(people.mentions(_minutes(t), ["stem"]), ["stem"])
 
 
-@query("stem:s rank:i key:s")
+@query("stem:s rank:i key:s", f"select * from {_CHAIRS}")
 def chair_list(t):
     m = _minutes(t)
     return people.chairs(m, people.directory(people.mentions(m, ["stem"]), ["stem"]), ["stem"])
 
 
+def _introducing(t):
+    """Speech of which every label's first turn names a person who attends: the one whose place in the list is the turn's."""
+    s = _speech(t)
+    p = _people(t).where("n_same = 1").groupBy("stem").agg(F.array_sort(F.collect_set("surname")).alias("ps"))
+    s = s.join(p, "stem", "left").withColumn("who", F.get("ps", (F.col("turn_ix") % F.greatest(F.size("ps"), F.lit(1))).cast("int")))
+    return s.withColumn("text", F.when(F.col("who").isNotNull() & (F.col("turn_ix") % 7 == 0), F.concat(F.lit("Mein Name ist "), F.initcap("who"), F.lit(". "), F.col("text"))).otherwise(F.col("text"))).drop("ps", "who")
+
+
 @query("stem:s label:s key:s method:s score:d")
 def resolve_cascade(t):
     m = _minutes(t)
     who = people.directory(people.mentions(m, ["stem"]), ["stem"])
-    body = _protocols(t)
-    return resolve.resolved(_speech(t), who, people.chairs(m, who, ["stem"]), body, ["stem"])
+    return resolve.resolved(_introducing(t), who, people.chairs(m, who, ["stem"]), _protocols(t), ["stem"])
+
+
+_SPI = f"""(select s.stem, pt, turn_ix, label, case when ps is not null and turn_ix % 7 = 0 then 'Mein Name ist ' || upper(left(ps[turn_ix % len(ps) + 1], 1)) || substr(ps[turn_ix % len(ps) + 1], 2) || '. ' || text else text end as text
+ from {_SPE} s left join (select stem, list_sort(list_distinct(list(surname))) as ps from {_PEO} where n_same = 1 group by stem) p on s.stem = p.stem)"""
+_CAP = r"[A-ZÄÖÜ][\p{L}\p{N}_.\-'']*"
+_INTRO = rf"""(select stem, label, arg_min(key, (turn_ix, k)) as key, 'self-intro' as method, 1.0::double as score from (select i.*, p.key from (select stem, label, turn_ix, k, lower((case when len({_TOK}) > 0 then {_TOK} else {_TOK0} end)[-1]) as surname from
+ (select stem, label, turn_ix, k, regexp_replace(n, '\.$', '') as full_name from (select stem, label, turn_ix, unnest(regexp_extract_all(text, '(?i:mein name ist|ich heiße|ich heisse|ich bin)\s+({_CAP}(?:\s+(?:{_CAP}|von|van|de|der|zu))*)', 1)) as n,
+ unnest(range(len(regexp_extract_all(text, '(?i:mein name ist|ich heiße|ich heisse|ich bin)\s+({_CAP}(?:\s+(?:{_CAP}|von|van|de|der|zu))*)', 1)))) as k from {_SPI}))) i join {_DIRECTORY} p on i.stem = p.stem and i.surname = p.surname and p.n_same = 1) group by stem, label)"""
+
+
+@query("stem:s label:s key:s method:s score:d", f"select * from {_INTRO}")
+def introductions(t):
+    m = _minutes(t)
+    return resolve.introductions(_introducing(t), people.directory(people.mentions(m, ["stem"]), ["stem"]), ["stem"])
 
 
 @query("name:s partner:s score:d")
@@ -756,20 +876,33 @@ def state_counts(t):
     return ledger(t).groupBy("state").agg(F.count("*").alias("n"))
 
 
+def _micros(c: str):
+    return F.unix_micros(F.col(c).cast("timestamp"))
+
+
 def _snapshots(t):
-    led = ledger(t).where("last_seen is not null").dropDuplicates(["stem"]).withColumn("sitting", F.coalesce("sitting", F.lit(1)))
-    new = led.where("sitting % 7 <> 0").withColumn("pdf_src", F.when(F.col("sitting") % 3 == 0, F.concat(F.coalesce("pdf_src", F.lit("")), F.lit("x"))).otherwise(F.col("pdf_src")))
-    return led.where("sitting % 5 <> 0"), new
+    """Two states of the ledger by time: the older knows the sittings seen in the first half, the newer lost those not seen since the first quarter. Each sitting is in at least one."""
+    led = ledger(t).groupBy("stem").agg(*[F.min(c).alias(c) for c in ("sitting", "pdf_src", "state", "first_seen")], F.max("last_seen").alias("last_seen"))
+    first, last = _micros("first_seen"), F.coalesce(_micros("last_seen"), _micros("first_seen"))
+    a, b = led.agg(F.min(first), F.max(first)).first()
+    old = first * 2 <= F.lit(a) + F.lit(b)
+    new = led.where(~old | (last * 4 >= F.lit(a) * 3 + F.lit(b)))
+    new = new.withColumn("pdf_src", F.when(F.col("sitting") % 3 == 0, F.concat(F.coalesce("pdf_src", F.lit("")), F.lit("x"))).otherwise(F.col("pdf_src")))
+    return led.where(old), new
 
 
-_SNAP = f"(select stem, coalesce(sitting, 1) as sitting, pdf_src, state from (select distinct on (stem) * from {LED} where last_seen is not null))"
-_DIFF = f"""(select coalesce(n.stem, o.stem) as stem, case when o.stem is null then 'NEW' when n.stem is null then 'MISSING' when o.pdf_src is not distinct from n.pdf_src and o.state is not distinct from n.state then 'UNCHANGED' else 'CHANGED' end as state
- from (select * from {_SNAP} where sitting % 5 <> 0) o full join (select stem, state, case when sitting % 3 = 0 then coalesce(pdf_src, '') || 'x' else pdf_src end as pdf_src from {_SNAP} where sitting % 7 <> 0) n on o.stem = n.stem)"""
+_SNAP = f"""(select *, first_us * 2 <= a + b as is_old, first_us * 2 > a + b or last_us * 4 >= a * 3 + b as is_new from (select *, epoch_us(first_seen) as first_us, coalesce(epoch_us(last_seen), epoch_us(first_seen)) as last_us,
+ min(epoch_us(first_seen)) over () as a, max(epoch_us(first_seen)) over () as b from
+ (select stem, min(sitting) as sitting, min(pdf_src) as pdf_src, min(state) as state, min(first_seen) as first_seen, max(last_seen) as last_seen from {LED} group by stem)))"""
+_DIFF = f"""(select coalesce(n.stem, o.stem) as stem, case when o.stem is null then 'NEW' when n.stem is null then 'MISSING' when o.pdf_src is not distinct from n.pdf_src and o.state is not distinct from n.state then 'UNCHANGED' else 'CHANGED' end as state,
+ epoch_us(coalesce(o.first_seen, n.first_seen)) as first_seen, epoch_us(case when n.stem is null then o.last_seen else n.last_seen end) as last_seen
+ from (select * from {_SNAP} where is_old) o full join (select stem, state, first_seen, last_seen, case when sitting % 3 = 0 then coalesce(pdf_src, '') || 'x' else pdf_src end as pdf_src from {_SNAP} where is_new) n on o.stem = n.stem)"""
 
 
-@query("stem:s state:s", f"select * from {_DIFF}")
+@query("stem:s state:s first_seen:i last_seen:i", f"select * from {_DIFF}")
 def ledger_diff(t):
-    return inventory.ledger_diff(*_snapshots(t), ["pdf_src", "state"])
+    d = inventory.ledger_diff(*_snapshots(t), ["pdf_src", "state"])
+    return d.select("stem", "state", _micros("first_seen").alias("first_seen"), _micros("last_seen").alias("last_seen"))
 
 
 @query("stem:s", f"select stem from {_DIFF} where state in ('NEW', 'CHANGED')")
@@ -777,6 +910,11 @@ def delta_manifest(t):
     return inventory.ledger_diff(*_snapshots(t), ["pdf_src", "state"]).where("state in ('NEW', 'CHANGED')").select("stem")
 
 
+@query("stem:s", f"select stem from {_DIFF} where state <> 'MISSING'")
+def pruned_ledger(t):
+    return inventory.ledger_diff(*_snapshots(t), ["pdf_src", "state"], prune=True).select("stem")
+
+
 @query(
     "stem:s wp:s sitting:s n_pdf:i n_audio:i flags:s pdf_src:s audio_src:s",
     f"""select stem, coalesce(wp::varchar, '-') as wp, coalesce(sitting::varchar, '-') as sitting, (pdf_src is not null)::int as n_pdf, len(coalesce(audio_src, [])) as n_audio,
@@ -794,12 +932,21 @@ def shard_assign(t):
 
 @query(
     "stem:s kind:s part:i src_path:s status:s",
-    f"""select stem, kind, part, src_path, 'linked' as status from (select distinct stem, 'pdf' as kind, 0 as part, pdf_src as src_path from {LED} where pdf_src is not null union all select distinct stem, 'audio', unnest(range(len(audio_src)))::int, unnest(audio_src) from {LED})""",
+    f"""select *, case when kind = 'audio' then 'linked' when length(src_path) % 3 = 1 then 'exists' when length(src_path) % 3 = 2 then 'EXISTS_DIFFERS' else 'linked' end as status
+    from (select distinct stem, 'pdf' as kind, 0 as part, pdf_src as src_path from {LED} where pdf_src is not null union all select distinct stem, 'audio', unnest(range(len(audio_src)))::int, unnest(audio_src) from {LED})""",
 )
 def staging_plan(t):
+    """The minutes of some sittings are staged already, of some from another file."""
     led = ledger(t).select("stem", "pdf_src", "audio_src").distinct()
-    none = led.select("stem", F.lit("pdf").alias("kind"), F.lit(0).alias("part"), F.lit("x").alias("src_path")).limit(0)
-    return sinks.staged(led, none).distinct()
+    have = led.where("length(pdf_src) % 3 > 0").select("stem", F.lit("pdf").alias("kind"), F.lit(0).alias("part"), F.when(F.length("pdf_src") % 3 == 1, F.col("pdf_src")).otherwise(F.concat("pdf_src", F.lit(".alt"))).alias("src_path")).distinct()
+    return sinks.staged(led, have).distinct()
+
+
+@query("dst_path:s status:s", f"select path as dst_path, case length % 3 when 0 then 'copied' when 1 then 'exists' else 'EXISTS_DIFFERS' end as status from (select distinct path, length from {FILES})")
+def copy_plan(t):
+    """Files of which some are there in the same size, some in another."""
+    f = drop_files(t).select(F.col("path").alias("dst_path"), "length").distinct()
+    return sinks.copied(f, f.where("length % 3 > 0").withColumn("length", F.when(F.col("length") % 3 == 1, F.col("length")).otherwise(F.col("length") + 1)))
 
 
 # ------------------------------------------------------------------ providers and stream

@@ -36,20 +36,23 @@ def with_front_matter(fields: dict[str, Column], body: Column) -> Column:
 
 
 def write_files(rows: DataFrame, folder: str, name: str = "name", text: str = "text") -> DataFrame:
-    """One file a row, written by the tasks to a folder all executors share; a task that runs again writes the same. Gives (name, bytes)."""
+    """One file a row, written by the tasks to a shared folder (a path or the URI of a file system); a task that runs again writes the same. Gives (name, bytes)."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import os
 
-        os.makedirs(folder, exist_ok=True)
+        from pyarrow import fs as pafs
+
+        fs, base = pafs.FileSystem.from_uri(folder if "://" in folder else "file://" + os.path.abspath(folder))
+        fs.create_dir(base)
         for pdf in parts:
             sizes = []
             for n, t in zip(pdf[name], pdf[text]):
-                tmp = os.path.join(folder, f".{n}.{os.getpid()}")
-                with open(tmp, "w", encoding="utf-8") as f:
-                    f.write(t)
-                os.replace(tmp, os.path.join(folder, n))
-                sizes.append(len(t.encode()))
+                raw, tmp = t.encode(), f"{base}/.{n}.{os.getpid()}"
+                with fs.open_output_stream(tmp) as f:
+                    f.write(raw)
+                fs.move(tmp, f"{base}/{n}")
+                sizes.append(len(raw))
             yield pd.DataFrame({"name": pdf[name], "bytes": sizes})
 
     return rows.select(name, text).mapInPandas(run, "name string, bytes bigint")
@@ -94,3 +97,10 @@ def staged(sessions: DataFrame, existing: DataFrame) -> DataFrame:
     e = existing.select("stem", "kind", "part", F.col("src_path").alias("_have"))
     status = F.when(F.col("_have").isNull(), "linked").when(F.col("_have") == F.col("src_path"), "exists").otherwise("EXISTS_DIFFERS")
     return plan.join(e, ["stem", "kind", "part"], "left").withColumn("status", status).drop("_have")
+
+
+def copied(plan: DataFrame, existing: DataFrame) -> DataFrame:
+    """Adds ``status`` to (dst_path, length): ``copied``, ``exists`` if a file of the same size is there, else EXISTS_DIFFERS. existing: (dst_path, length)."""
+    e = existing.select("dst_path", F.col("length").alias("_have"))
+    status = F.when(F.col("_have").isNull(), "copied").when(F.col("_have") == F.col("length"), "exists").otherwise("EXISTS_DIFFERS")
+    return plan.join(e, "dst_path", "left").withColumn("status", status).drop("_have")
