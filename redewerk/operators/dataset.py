@@ -69,6 +69,28 @@ def reject_ledger(rows: DataFrame) -> DataFrame:
     )
 
 
+def untagged_rejects(untagged: DataFrame, recovered: bool = False) -> DataFrame:
+    """Rows of the reject ledger for sittings without an aligned item: dropped, or recovered as whole documents."""
+    return untagged.select("stem", F.lit("*").alias("top"), F.lit(REASONS[3]).alias("reason"), F.lit("-").alias("seq_tokens"), F.lit("recovered" if recovered else "dropped").alias("disposition"))
+
+
+def held_out_manifest(examples: DataFrame, note: str) -> DataFrame:
+    """The nine columns of the held-out list from (example, stem, source, transcript, minutes): counts of the tagged transcript, and the words of its cleaned minutes."""
+    from ..functions.text import words
+
+    tags = F.regexp_extract_all("transcript", F.lit(r"<SD-SPK>([^<]*)</SD>"), F.lit(1))
+    return examples.select(
+        "example", "stem", "source", F.regexp_count("transcript", F.lit("<SD-TOP>")).alias("tops"), F.size(F.array_distinct(tags)).alias("speakers"),
+        F.size(F.array_distinct(F.regexp_extract_all("transcript", F.lit(r"(SPEAKER_\d+)"), F.lit(1)))).alias("invented_speakers"), F.size(words(F.col("transcript"))).alias("transcript_words"), F.size(words(F.col("minutes"))).alias("gold_words"),
+        F.lit(note).alias("split_note"),
+    )
+
+
+def only(rows: DataFrame, part: str | None, column: str = "example") -> DataFrame:
+    """Rows whose name holds a text; all without one."""
+    return rows.where(F.col(column).contains(part)) if part else rows
+
+
 def ledger_order(ledger: DataFrame) -> DataFrame:
     """By reason in fixed order, stem, and item as text (10 before 2)."""
     rank = F.array_position(F.array(*[F.lit(r) for r in REASONS]), F.col("reason"))

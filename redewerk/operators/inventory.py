@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..session import kept
+
 # --- fixed values: shapes of file and folder names ------------------------------------
 DROP_NAME = r"(?i)^(\d+)\s*\.\s*([A-Za-zÄÖÜäöüß]+)\s+(?:vom|am)\s+(\d{2})\.(\d{2})\.(\d{4})(?:\s+Teil\s+(\d+))?(?:\s+\((\d+)\))?(?:-(\d+))?\s*\.(mp3|pdf)$"
 PERIOD_PREFIX = r"(?i)^\s*0?\d{1,2}\s*\.?\s*WP\b\.?\s*"
@@ -135,8 +137,8 @@ def positions(rows: DataFrame, order: list[str]) -> DataFrame:
     """Adds ``position`` (from 0) in order. Range partitions count on their own; only their sizes pass through the driver."""
     spark = rows.sparkSession
     line = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
-    # kept, so that both passes see the same ranges: in the shared folder where the session names one
-    line = line.checkpoint() if spark.sparkContext.getCheckpointDir() else line.persist()
+    # kept, so that both passes see the same ranges
+    line = kept(line)
     at, before = 0, []
     for r in line.groupBy("_p").count().orderBy("_p").collect():
         before.append((r["_p"], at))

@@ -60,6 +60,31 @@ class TableLlm:
         return self.answers.get(hashlib.sha256(prompt.encode()).hexdigest()[:12], "{}")
 
 
+class Announced:
+    """Stands in for a model that places agenda items: at the first turn shown in which ``TOP n`` is said."""
+
+    def complete(self, prompt: str) -> str:
+        turns = re.findall(r"(?m)^T(\d+) \[[^\]]*\] (.*)$", prompt)
+        items = re.findall(r"(?m)^TOP (\d+):", prompt)
+        return json.dumps({n: next((f"T{i}" for i, text in turns if re.search(rf"\bTOP {n}\b", text)), None) for n in items})
+
+
+class LastClose:
+    """Stands in for a model that finds the end of the item before: the last numbered line that begins with ``Damit``."""
+
+    def complete(self, prompt: str) -> str:
+        return json.dumps({"last_prev_line": max((int(i) for i in re.findall(r"(?m)^(\d+)\. Damit", prompt)), default=0)})
+
+
+class InOrder:
+    """Stands in for a model that names speakers: the open labels in order are the names in order, for certain."""
+
+    def complete(self, prompt: str) -> str:
+        labels = re.findall(r"(?m)^\[([^\]]+)\] ", prompt)
+        names = [x for x in prompt.rsplit("NAMEN: ", 1)[-1].split("; ") if x]
+        return json.dumps({a: {"name": n, "confidence": "certain"} for a, n in zip(labels, names)}, ensure_ascii=False)
+
+
 class QuarterTokens:
     """A token for each four characters begun."""
 
@@ -99,26 +124,63 @@ class SecondsPerLine:
         return [(float(i), i + 1.0, line.split(":", 1)[0].strip()) for i, line in enumerate(content.decode("utf-8").splitlines()) if line.strip()]
 
 
-def applied(rows: DataFrame, inputs: list[str], build: Callable[[], object], call: Callable[..., object], output: T.DataType = T.StringType()) -> DataFrame:
-    """Adds ``value`` and ``error``: ``call(provider, *inputs)`` of each row. Retries are Spark's; a row that fails keeps its error."""
+def applied(
+    rows: DataFrame, inputs: list[str], build: Callable[[], object], call: Callable[..., object], output: T.DataType = T.StringType(), transient: tuple[type[Exception], ...] = (), tries: int = 3, wait_s: float = 1.0,
+) -> DataFrame:
+    """Adds ``value`` and ``error``: ``call(provider, *inputs)`` of each row.
+
+    An error of a kind in ``transient`` is tried again, up to ``tries`` times with linearly growing waits; any other error, and one
+    that stays, becomes the row's error and the batch goes on. If a whole task is lost, Spark runs it again.
+    """
     schema = T.StructType([*rows.schema.fields, T.StructField("value", output), T.StructField("error", T.StringType())])
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import time
+
         provider = build()
-        for pdf in parts:
-            values, errors = [], []
-            for args in zip(*(pdf[c] for c in inputs)):
+
+        def one(args: tuple) -> tuple[object, str | None]:
+            for k in range(1, tries + 1):
                 try:
-                    values.append(call(provider, *args))
-                    errors.append(None)
+                    return call(provider, *args), None
                 except Exception as e:  # noqa: BLE001
-                    values.append(None)
-                    errors.append(f"{type(e).__name__}: {e}")
-            yield pdf.assign(value=pd.Series(values, index=pdf.index, dtype=object), error=pd.Series(errors, index=pdf.index, dtype=object))
+                    if k == tries or not isinstance(e, transient):
+                        return None, f"{type(e).__name__}: {e}"
+                    time.sleep(wait_s * k)
+            return None, "not tried"
+
+        for pdf in parts:
+            out = [one(args) for args in zip(*(pdf[c] for c in inputs))]
+            yield pdf.assign(value=pd.Series([v for v, _ in out], index=pdf.index, dtype=object), error=pd.Series([e for _, e in out], index=pdf.index, dtype=object))
 
     return rows.mapInPandas(run, schema)
 
 
+def asked(rows: DataFrame, prompt: str, answers: DataFrame) -> DataFrame:
+    """Adds ``value``: the answer of a table (prompt_hash, response) to each row's prompt, ``{}`` where it has none."""
+    from ..functions.text import prompt_hash
+
+    a = answers.select("prompt_hash", "response").dropDuplicates(["prompt_hash"])
+    return rows.withColumn("prompt_hash", prompt_hash(F.col(prompt))).join(a, "prompt_hash", "left").withColumn("value", F.coalesce("response", F.lit("{}"))).drop("prompt_hash", "response")
+
+
+def exit_code(done: DataFrame) -> int:
+    """What a run over rows with ``error`` ends with: 0, or 2 if some failed."""
+    return 0 if done.where("error is not null").isEmpty() else 2
+
+
+def context_window(models: dict[str, dict], model: str, default: int = 4096) -> int:
+    """The context length in tokens of a model's configuration, that of its text part first; the default where it is not given."""
+    own = models.get(model, {})
+    sub = own.get("text_config") or own
+    return int(sub.get("max_position_embeddings") or own.get("max_position_embeddings") or default)
+
+
+def prompt_room(limit: int, output: int, least: int = 256) -> int:
+    """Tokens left for the prompt beside the output, at least ``least``."""
+    return max(least, limit - output)
+
+
 def json_answer(text: str) -> dict:
     """The object from the first ``{`` to the last ``}``; empty on any failure."""
     m = re.search(r"\{.*\}", text or "", re.DOTALL)
@@ -129,8 +191,10 @@ def json_answer(text: str) -> dict:
         return {}
 
 
-def counted(rows: DataFrame, column: str, build: Callable[[], TokenCounter] = QuarterTokens) -> DataFrame:
-    """Adds ``seq_tokens``."""
+def counted(rows: DataFrame, column: str, build: Callable[[], TokenCounter] | None = None) -> DataFrame:
+    """Adds ``seq_tokens``: by the provider, or the estimate of a token for each four characters begun, which needs no Python."""
+    if build is None:
+        return rows.withColumn("seq_tokens", F.ceil(F.length(F.coalesce(column, F.lit(""))) / 4).cast("int"))
     out = applied(rows, [column], build, lambda p, t: p.count(t or ""), T.IntegerType())
     return out.withColumnRenamed("value", "seq_tokens").drop("error")
 
@@ -142,10 +206,20 @@ def converted(files: DataFrame, build: Callable[[], Converter] = PlainText, leas
     return out.withColumn("error", F.coalesce("error", F.when(F.coalesce(short, F.lit(True)), F.lit("too short")))).withColumn("value", F.when(F.col("error").isNull(), F.col("value")))
 
 
+# --- fixed values: what a model answers where it knows no name ------------------------------------
+NO_NAME = ["", "null", "none", "unbekannt"]
+
+
 def certain(answers: DataFrame, response: str = "value") -> DataFrame:
-    """Rows of an array answer ``{"speakers": [{label, name, confidence}]}`` whose confidence is ``certain``: columns label and name added."""
-    a = F.from_json(F.regexp_extract(response, r"(?s)\{.*\}", 0), "speakers array<struct<label: string, name: string, confidence: string>>")
-    return answers.withColumn("_a", F.explode(a["speakers"])).where(F.lower("_a.confidence") == "certain").withColumn("label", F.col("_a.label")).withColumn("name", F.col("_a.name")).drop("_a")
+    """One row for each label of an answer ``{label: {"name", "confidence", "role"}}`` whose confidence is ``certain`` and which gives a name: columns label, name and role added.
+
+    What is no object, or another shape, gives no rows.
+    """
+    shape = "map<string, struct<name: string, confidence: string, role: string>>"
+    a = answers.select("*", F.explode(F.from_json(F.regexp_extract(response, r"(?s)\{.*\}", 0), shape)).alias("label", "_a"))
+    role = F.trim(F.coalesce("_a.role", F.lit("")))
+    a = a.where((F.lower("_a.confidence") == "certain") & ~F.lower(F.trim("_a.name")).isin(NO_NAME))
+    return a.withColumn("name", F.trim("_a.name")).withColumn("role", F.when(F.lower(role).isin(NO_NAME), F.lit("")).otherwise(role)).drop("_a")
 
 
 def accepted_placements(answers: DataFrame, keys: list[str]) -> DataFrame:

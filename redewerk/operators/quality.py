@@ -74,3 +74,20 @@ def framework_of(adapter: Column, known: list[str], default: str = "peft") -> Co
     for k in reversed(known):
         out = F.when(adapter.startswith(k), k).otherwise(out)
     return out
+
+
+def markdown_table(rows: DataFrame, columns: list[str], order: list[str]) -> DataFrame:
+    """(text): a report as one Markdown table, nulls as dashes. For reports, whose size is that of a listing."""
+    cell = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-"))
+    line = F.concat(F.lit("| "), F.concat_ws(" | ", *[cell(c) for c in columns]), F.lit(" |"))
+    g = rows.select(F.struct(*order).alias("_o"), line.alias("_l")).agg(F.array_sort(F.collect_list(F.struct("_o", "_l"))).alias("x"))
+    head = f"| {' | '.join(columns)} |\n|{'---|' * len(columns)}"
+    return g.select(F.concat_ws("\n", F.array(F.lit(head)), F.transform("x", lambda x: x["_l"])).alias("text"))
+
+
+def comparison(rows: DataFrame, gold: DataFrame, keys: list[str]) -> DataFrame:
+    """One row an output: its metrics, words against gold, and whether it degenerated. rows: keys, text; gold: key ``example``, words."""
+    m = metrics(F.col("text"))
+    r = rows.select(*keys, *[c.alias(k) for k, c in m.items()])
+    r = gold_ratio(r, gold, "example").withColumn("degenerate", degenerate(F.col("timestamp_leaks"), F.col("tag_leaks"), F.col("max_repeat"), F.col("gibberish"), F.col("words")))
+    return r.withColumn("ratio", F.round("ratio", 2))

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from ..functions.similarity import token_set_ratio
+from ..functions.similarity import token_set, token_set_ratio
+from ..session import kept
 from .pairing import best_assignment
 from .people import canonical_name
 
@@ -72,7 +77,10 @@ def chair_zip(counts: DataFrame, chairs: DataFrame, done: DataFrame, keys: list[
 
 def content_scores(turns: DataFrame, body: DataFrame, people: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, label, rank, person, score): what a label says against the sentences that name a person, both capped."""
-    said = turns.groupBy(*keys, "label").agg(F.array_sort(F.collect_list(F.struct("turn_ix", "text"))).alias("ts"), F.min("turn_ix").alias("rank"))
+    # a running length leaves out what the cap would cut anyway, before turns are brought together
+    w = W.partitionBy(*keys, "label").orderBy("turn_ix").rowsBetween(W.unboundedPreceding, -1)
+    head = turns.withColumn("_before", F.coalesce(F.sum(F.length("text") + 1).over(w), F.lit(0))).where(F.col("_before") <= TEXT_CAP)
+    said = head.groupBy(*keys, "label").agg(F.array_sort(F.collect_list(F.struct("turn_ix", "text"))).alias("ts"), F.min("turn_ix").alias("rank"))
     said = said.select(*keys, "label", "rank", F.substring(F.array_join(F.transform("ts", lambda x: F.concat(F.lit(" "), x["text"])), ""), 1, TEXT_CAP).alias("said"))
     said = said.where(F.trim("said") != "").join(done.select(*keys, "label"), [*keys, "label"], "left_anti")
     sent = body.select(*keys, F.posexplode(F.split("body", r"(?<=[.!?])\s+")).alias("pos", "s"))
@@ -88,14 +96,137 @@ def content_matched(scores: DataFrame, keys: list[str], threshold: float = 75.0)
     return m.select(*keys, "label", F.col("person").alias("key"), F.lit("content").alias("method"), F.round("score", 1).alias("score"))
 
 
-def resolved(turns: DataFrame, people: DataFrame, chairs: DataFrame, body: DataFrame, keys: list[str], threshold: float = 75.0) -> DataFrame:
-    """(keys, label, key, method, score): the tiers one after the other."""
+def resolved(
+    turns: DataFrame, people: DataFrame, chairs: DataFrame, body: DataFrame | None, keys: list[str], threshold: float = 75.0, minutes: DataFrame | None = None, build=None, answers: DataFrame | None = None,
+) -> DataFrame:
+    """(keys, label, key, method, score): the tiers one after the other; none changes what an earlier one fixed.
+
+    body: minutes for the content tier. minutes (keys, top, section) and build (a model) add the tier by items, answers the one by the transcript.
+    """
     cols = [*keys, "label", "key", "method", "score"]
-    done = introductions(turns, people, keys).select(*cols)
+    # each tier reads what the earlier ones fixed: small tables, made once
+    done = kept(introductions(turns, people, keys).select(*cols))
     won = vote_winners(chair_votes(turns, people, keys), keys).withColumn("method", F.lit("chair")).select(*cols)
-    done = done.unionByName(won.join(done.select(*keys, "label"), [*keys, "label"], "left_anti"))
-    done = done.unionByName(chair_zip(cue_counts(turns, keys), chairs, done, keys).select(*cols))
-    return done.unionByName(content_matched(content_scores(turns, body, people, done, keys), keys, threshold).select(*cols))
+    done = kept(done.unionByName(won.join(done.select(*keys, "label"), [*keys, "label"], "left_anti")))
+    done = kept(done.unionByName(chair_zip(cue_counts(turns, keys), chairs, done, keys).select(*cols)))
+    if body is not None:
+        done = kept(done.unionByName(content_matched(content_scores(turns, body, people, done, keys), keys, threshold).select(*cols)))
+    if minutes is not None and build is not None:
+        done = kept(done.unionByName(protocol_tier(turns, minutes, people, done, keys, build).select(*cols)))
+    if answers is not None:
+        done = kept(done.unionByName(transcript_tier(turns, people, done, answers, keys).select(*cols)))
+    return done
+
+
+def snapped(answers: DataFrame, people: DataFrame, done: DataFrame, keys: list[str], threshold: float = 85.0, new: bool = False) -> DataFrame:
+    """(keys, label, key) of the named labels (keys, label, name), by label: the free person (keys, key, full) of the same canonical key, else the free one of the highest token-set similarity from the threshold on.
+
+    new: a name that fits no person is a person of its own, unless taken. Persons of ``done`` are taken. One session's names and persons come together.
+    """
+    key, _ = canonical_name(F.col("name"))
+    a = answers.select(*keys, F.lit(0).alias("_side"), "label", F.col("name").alias("full"), key.alias("key")).distinct()
+    p = people.select(*keys, F.lit(1).alias("_side"), F.lit("").alias("label"), "full", "key").join(done.select(*keys, "key"), [*keys, "key"], "left_anti").select(*a.columns)
+    taken = done.select(*keys, F.lit(2).alias("_side"), F.lit("").alias("label"), F.lit("").alias("full"), "key")
+    schema = answers.select(*keys, "label").schema.add("key", T.StringType())
+
+    def claim(pdf: pd.DataFrame) -> pd.DataFrame:
+        free = dict(sorted(zip(pdf[pdf["_side"] == 1]["key"], pdf[pdf["_side"] == 1]["full"])))
+        used, out = set(pdf[pdf["_side"] == 2]["key"]), []
+        for r in pdf[pdf["_side"] == 0].sort_values(["label", "key"]).itertuples(index=False):
+            hit = r.key if r.key in free else None
+            if hit is None and free:
+                best = max(free, key=lambda k: token_set(r.full.lower(), free[k].lower()))
+                hit = best if token_set(r.full.lower(), free[best].lower()) >= threshold else None
+            if hit is None and new and r.key and r.key not in used:
+                hit = r.key
+            if hit is not None:
+                free.pop(hit, None)
+                used.add(hit)
+                out.append((*(getattr(r, k) for k in keys), r.label, hit))
+        return pd.DataFrame(out, columns=schema.names)
+
+    return a.unionByName(p).unionByName(taken).groupBy(*keys).applyInPandas(claim, schema)
+
+
+def transcript_prompts(turns: DataFrame, done: DataFrame, keys: list[str], said_cap: int = 1500) -> DataFrame:
+    """(keys, prompt): of each session with unresolved labels what these say (turns until the cap is reached), and what was said before them; asks who they are.
+
+    The answer is ``{label: {"name", "role", "confidence"}}``.
+    """
+    t = turns.where("trim(coalesce(text, '')) <> ''").join(done.select(*keys, "label"), [*keys, "label"], "left_anti")
+    w = W.partitionBy(*keys, "label").orderBy("turn_ix")
+    t = t.withColumn("_before", F.coalesce(F.sum(F.length("text") + 1).over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).where(F.col("_before") <= said_cap)
+    said = t.groupBy(*keys, "label").agg(F.array_sort(F.collect_list(F.struct("turn_ix", "text"))).alias("ts")).select(*keys, "label", F.array_join(F.transform("ts", lambda x: x["text"]), " ").alias("said"))
+    before = handoff_context(turns, keys).select(*keys, "label", F.array_join("contexts", " … ").alias("before"))
+    line = F.concat(F.lit("["), F.col("label"), F.lit("] "), F.col("said"), F.coalesce(F.concat(F.lit("\n  davor: "), F.nullif("before", F.lit(""))), F.lit("")))
+    g = said.join(before, [*keys, "label"], "left").groupBy(*keys).agg(F.array_sort(F.collect_list(line)).alias("ls"))
+    ask = "Wer spricht? Nur Namen, die im Transkript fallen. Nur JSON {Label: {name, role, confidence: certain oder unsure}}."
+    return g.select(*keys, F.concat(F.lit(ask + "\n\n"), F.array_join("ls", "\n")).alias("prompt"))
+
+
+def transcript_tier(turns: DataFrame, people: DataFrame, done: DataFrame, answers: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, label, key, method, score) of the labels that a model names for certain from the transcript: persons of the directory or new ones. answers: table (prompt_hash, response)."""
+    from .providers import asked, certain
+
+    named = certain(asked(transcript_prompts(turns, done, keys), "prompt", answers)).select(*keys, "label", "name")
+    named = named.join(done.select(*keys, "label"), [*keys, "label"], "left_anti")
+    return snapped(named, people, done, keys, new=True).select(*keys, "label", "key", F.lit("transcript-llm").alias("method"), F.lit(1.0).alias("score"))
+
+
+def protocol_prompt(top: int, said: dict[str, str], section: str, candidates: list[str], known: dict[str, str]) -> str:
+    """Asks which of the candidates the open labels of an item are, by the minutes; answer ``{label: {"name", "confidence"}}``."""
+    return "\n".join([
+        f"Wer spricht zu TOP {top}? Nur JSON {{Label: {{name, confidence: certain oder unsure}}}}.", "", "PROTOKOLL:", section[:8000], "", "BEKANNT: " + "; ".join(f"{a}={b}" for a, b in sorted(known.items())), "",
+        *(f"[{label}] {text[:2500]}" for label, text in sorted(said.items())), "", "NAMEN: " + "; ".join(candidates),
+    ])
+
+
+def protocol_tier(turns: DataFrame, minutes: DataFrame, people: DataFrame, done: DataFrame, keys: list[str], build) -> DataFrame:
+    """(keys, label, key, method, score): a model is asked item by item, by the minutes' section (keys, top, section), for the labels still open; ends when none is.
+
+    Each answer narrows the next question, so one session is asked by one task, which holds its capped texts.
+    """
+    from .providers import NO_NAME, json_answer
+
+    t = turns.where("top is not null and trim(coalesce(text, '')) <> ''").groupBy(*keys, "top", "label").agg(F.array_sort(F.collect_list(F.struct("turn_ix", F.substring("text", 1, 2500).alias("text")))).alias("ts"))
+    t = t.select(*keys, "top", "label", F.substring(F.array_join(F.transform("ts", lambda x: x["text"]), " "), 1, 2500).alias("said"))
+    t = t.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("top", "label", "said"))).alias("ts"))
+    m = minutes.groupBy(*keys).agg(F.collect_list(F.struct("top", F.substring("section", 1, 8000).alias("section"))).alias("ms"))
+    p = people.groupBy(*keys).agg(F.array_sort(F.collect_set(F.struct("key", "full"))).alias("ps"))
+    d = done.groupBy(*keys).agg(F.collect_list(F.struct("label", "key")).alias("ds"))
+    rows = t.join(m, keys, "left").join(p, keys).join(d, keys, "left")
+    schema = rows.select(*keys).schema.add("label", T.StringType()).add("key", T.StringType()).add("method", T.StringType()).add("score", T.DoubleType())
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = build()
+        for pdf in parts:
+            out = []
+            for r in pdf.to_dict("records"):
+                full = {x["key"]: x["full"] for x in r["ps"]}
+                fixed = {x["label"]: x["key"] for x in (r["ds"] if r["ds"] is not None else ())}
+                section = {int(x["top"]): x["section"] for x in (r["ms"] if r["ms"] is not None else ())}
+                every = {x["label"] for x in r["ts"]}
+                for top in sorted({int(x["top"]) for x in r["ts"]}):
+                    said = {x["label"]: x["said"] for x in r["ts"] if x["top"] == top and x["label"] not in fixed}
+                    if not said:
+                        continue
+                    taken = set(fixed.values())
+                    free = {k: f for k, f in full.items() if k not in taken}
+                    answer = json_answer(model.complete(protocol_prompt(top, said, section.get(top, ""), list(free.values()), {a: full.get(k, k) for a, k in fixed.items()})))
+                    for label, info in answer.items():
+                        if label in fixed or not isinstance(info, dict) or str(info.get("confidence", "")).lower() != "certain" or str(info.get("name") or "").strip().lower() in NO_NAME or not free:
+                            continue
+                        name = str(info["name"]).strip().lower()
+                        hit = max(free, key=lambda k: (k == name, token_set(name, free[k].lower())))
+                        if hit == name or token_set(name, free[hit].lower()) >= 85:
+                            fixed[label] = hit
+                            free.pop(hit)
+                            out.append((*(r[k] for k in keys), label, hit, "llm", 1.0))
+                    if every <= set(fixed):
+                        break
+            yield pd.DataFrame(out, columns=schema.names)
+
+    return rows.mapInPandas(run, schema)
 
 
 def excluded_items(turns: DataFrame, done: DataFrame, keys: list[str], most: int = MAX_UNRESOLVED_SENTENCES) -> DataFrame:

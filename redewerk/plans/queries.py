@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import agenda, cleaning, dataset, intervals, inventory, people, providers, quality, resolve, sections, turns
-from ..operators.pairing import best_assignment, fuzzy_pairs
+from ..operators.pairing import best_assignment
 from ..sources import files, sinks
 from ..streaming import arrivals
 
@@ -465,12 +465,17 @@ def _clean_sql(x: str) -> str:
     return x
 
 
-_CLEAN = rf"""(select doc_id, trim(regexp_replace(y, '\n{{3,}}', chr(10) || chr(10), 'g'), ' ' || chr(10) || chr(9) || chr(13)) || chr(10) as body from (select doc_id,
+def clean_sql(source: str) -> str:
+    """(doc_id, body) of a table (doc_id, x) of bodies."""
+    return rf"""(select doc_id, trim(regexp_replace(y, '\n{{3,}}', chr(10) || chr(10), 'g'), ' ' || chr(10) || chr(9) || chr(13)) || chr(10) as body from (select doc_id,
  replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(z, '(\S) {{2,}}(\S)', '\1 \2', 'g'), '(\S) {{2,}}(\S)', '\1 \2', 'g'), '([a-zäöüß])- +(und|oder|bzw\.?|sowie)\b', '\1-' || chr(1) || '\2', 'g'), '([a-zäöüß])- +([a-zäöüß])', '\1\2', 'g'), '-' || chr(1), '- ') as y
  from (select doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(w, '{cleaning.IMAGE}', '', 'g'), '\[([^\]]*)\]\([^)]*\)', '\1', 'g'), '(?m)^\d{{1,3}}\s+.*(?:Vgl\.|Anlage).*$', '', 'g'), '{cleaning.FOOTNOTE_MARK}', '\1', 'g'), '{cleaning.ATTACHMENT_MARK}', '', 'g'), '{cleaning.EMPTY_HEADING}', '', 'g') as z
  from (select doc_id, list_reduce(list_prepend(regexp_replace(v, '{cleaning.CODE_LINE}', '', 'g'), list_sort(list_transform(list_distinct(regexp_extract_all(v, '{cleaning.CODE_LINE}', 1)), lambda x: printf('%03d', 999 - length(x)) || x))),
   lambda a, x: regexp_replace(a, '{cleaning.CODE_END[0]}' || substr(x, 4) || '{cleaning.CODE_END[1]}', '', 'g')) as w
- from (select doc_id, {_clean_sql("x")} as v from (select doc_id, '## Beschlüsse und Festlegungen' || chr(10) || chr(10) || text || chr(10) || {_sql_lines(_FURNITURE)} as x from documents where text is not null))))))"""
+ from (select doc_id, {_clean_sql("x")} as v from {source})))))"""
+
+
+_CLEAN = clean_sql(f"(select doc_id, '## Beschlüsse und Festlegungen' || chr(10) || chr(10) || text || chr(10) || {_sql_lines(_FURNITURE)} as x from documents where text is not null)")
 
 
 @query("doc_id:i cover:s body:s matched:b", f"select doc_id, 'Deckblatt' || chr(10) || chr(10) as cover, body, true as matched from {_CLEAN} union all select doc_id, text, '', false from documents where text is not null")
@@ -792,15 +797,6 @@ def introductions(t):
     return resolve.introductions(_introducing(t), people.directory(people.mentions(m, ["stem"]), ["stem"]), ["stem"])
 
 
-@query("name:s partner:s score:d")
-def fuzzy_pairing(t):
-    led, man = ledger(t), t("manifest").where("stem is not null").select("stem").distinct()
-    block = lambda k: F.substring_index(k, " ", 1)
-    left = led.select(F.col("stem").alias("name"), X.canonical_key(F.col("stem")).alias("key")).distinct().withColumn("block", block("key"))
-    right = man.select(F.col("stem").alias("name"), X.canonical_key(F.col("stem")).alias("key")).withColumn("block", block("key"))
-    return fuzzy_pairs(left, right)
-
-
 @query("stem:s label:s person:s score:d")
 def content_match(t):
     body = _protocols(t)
@@ -955,13 +951,6 @@ def token_count_provider(t):
     return providers.counted(records(t).select("rec_id", "user"), "user").select("rec_id", "seq_tokens")
 
 
-@query("stem:s summary:s")
-def summarise_stub(t):
-    s = segments(t).where("text is not null").groupBy("stem").agg(F.array_sort(F.collect_list(F.struct("pt", "ord", "text"))).alias("x"))
-    s = s.select("stem", F.lit(1).alias("top"), F.lit("Beratung").alias("title"), F.array_join(F.transform("x", lambda x: x["text"]), " ").alias("text"))
-    return providers.summarised(s, "System")
-
-
 @query("stem:s first_seen:s last_seen:s n:i", "select stem, strftime(min(first_seen), '%Y-%m-%d %H:%M:%S') as first_seen, strftime(max(first_seen), '%Y-%m-%d %H:%M:%S') as last_seen, count(*) as n from ledger where stem is not null group by 1")
 def stream_ledger(t):
     batch = t("ledger")

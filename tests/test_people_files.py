@@ -145,7 +145,7 @@ def test_providers(spark):
     assert segs == [(0.0, 2.0, "hallo")] and on == 2.0
     s = spark.createDataFrame([("s", 1, "Haushalt", "Eins. Zwei. Drei.")], "stem string, top int, title string, text string")
     assert one(providers.summarised(s, "System")) == [("s", "## Zu TOP 1\n\nEins. Zwei.")]
-    a = spark.createDataFrame([('x {"speakers": [{"label": "L", "name": "N", "confidence": "certain"}, {"label": "M", "name": "O", "confidence": "low"}]}',), ("kaputt",)], "value string")
+    a = spark.createDataFrame([('x {"L": {"name": "N", "confidence": "Certain"}, "M": {"name": "O", "confidence": "low"}, "P": {"name": "null", "confidence": "certain"}, "Q": null}',), ("kaputt",), ("{}",), (None,)], "value string")
     assert one(providers.certain(a).select("label", "name")) == [("L", "N")]
 
 
