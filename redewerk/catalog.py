@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import pipeline_queries  # noqa: F401  (registers its queries)
+from .plans import file_queries, pipeline_queries  # noqa: F401  (they register their queries)
 from .plans.queries import REGISTRY
 
 

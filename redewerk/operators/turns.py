@@ -86,7 +86,7 @@ def carried(rows: DataFrame, part: list[str], order: str, value: str, name: str)
 def speaker_groups(rows: DataFrame, part: list[str], order: str = "ord") -> DataFrame:
     """(part, island, speaker, start, end, segments): consecutive segments of one speaker. Groups without any text are dropped after grouping."""
     g = islands(rows, part, order, "speaker").groupBy(*part, "island")
-    g = g.agg(F.first("speaker").alias("speaker"), F.min("start").alias("start"), F.max("end").alias("end"), F.array_sort(F.collect_list(F.struct(order, "text"))).alias("segments"))
+    g = g.agg(F.first("speaker").alias("speaker"), F.min("start").alias("start"), F.max("end").alias("end"), F.array_sort(F.collect_list(F.struct(order, "start", "end", "text"))).alias("segments"))
     return g.where(F.exists("segments", lambda s: F.trim(s["text"]) != ""))
 
 

@@ -18,7 +18,7 @@ def write_jsonl(records: DataFrame, path: str, overwrite: bool = False) -> None:
 def write_tsv(report: DataFrame, path: str, order: list[str], overwrite: bool = True) -> None:
     """A report as one file with tabs and a header, nulls as dashes. For reports, whose size is that of a listing."""
     cols = [F.coalesce(F.col(c).cast("string"), F.lit("-")).alias(c) for c in report.columns]
-    report.select(*cols).repartition(1).sortWithinPartitions(*order).write.option("sep", "\t").option("header", "true").mode("overwrite" if overwrite else "errorifexists").csv(path)
+    report.select(*cols).repartition(1).sortWithinPartitions(*order).write.option("sep", "\t").option("header", "true").option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").mode("overwrite" if overwrite else "errorifexists").csv(path)
 
 
 def transcript_markdown(groups: DataFrame, key: str, header: Column) -> DataFrame:
