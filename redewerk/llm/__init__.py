@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from importlib import import_module
+# imported here, so that a missing dependency shows when the subpackage is imported, not when queries are listed
+from . import defects, encoding, leaks, names, overlaps, packing, pieces, scans, splits, turns
 
-MODULES = ("splits", "overlaps", "names", "pieces", "scans", "defects", "turns", "packing", "leaks", "encoding")
+MODULES = (splits, overlaps, names, pieces, scans, defects, turns, packing, leaks, encoding)
 
 
 def queries() -> dict:
-    return {k: v for m in MODULES for k, v in import_module(f".{m}", __name__).queries().items()}
+    return {k: v for m in MODULES for k, v in m.queries().items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for m in MODULES for k, v in import_module(f".{m}", __name__).oracle_sql().items()}
+    return {k: v for m in MODULES for k, v in m.oracle_sql().items()}
