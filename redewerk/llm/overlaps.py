@@ -56,8 +56,8 @@ def splits_of(records: DataFrame, manifest: DataFrame) -> DataFrame:
     notes = notes.where("sitting is not null and note is not null").groupBy("sitting").agg(F.min(F.array_position(order, F.col("note"))).alias("rank"))
     own = F.lower(F.trim("split"))
     own = F.when(own.isin("train", "training"), "train").when(own.isin("val", "valid", "validation", "dev"), "validation").when(own == "test", "test")
-    r = records.where("rec_id is not null").dropDuplicates(["rec_id"])
-    r = r.select("rec_id", stem_key(F.col("meta.stem")).alias("sitting"), own.alias("own"), "source", folded(transcript(F.col("messages"))).alias("words"))
+    r = records.where("rec_id is not null").select("rec_id", stem_key(F.col("meta.stem")).alias("sitting"), own.alias("own"), "source", transcript(F.col("messages")).alias("words"))
+    r = r.dropDuplicates(["rec_id"]).withColumn("words", folded(F.col("words")))
     r = r.join(notes, "sitting", "left")
     return r.select("rec_id", F.when(F.col("rank") == 1, "test").when(F.col("rank") == 2, "validation").when(F.col("rank") == 3, "train").otherwise(F.col("own")).alias("split"), "source", "words")
 
@@ -178,13 +178,24 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select(F.least("eval_rec", "train_rec").alias("rec_a"), F.greatest("eval_rec", "train_rec").alias("rec_b"))
 
 
+def report(sides: DataFrame) -> DataFrame:
+    """(split, source, eval_records, train_records, pairs): overlaps of evaluation records, counted by classes of equal transcripts; no pair of records is made."""
+    members, pairs = class_pairs(sides)
+    n = members.groupBy("cls").agg(F.count_if("in_train").alias("t"))
+    ev = members.where("not in_train").groupBy("cls", F.coalesce("split", F.lit("none")).alias("split"), "source").agg(F.count("*").alias("e"))
+    # a class that holds both sides overlaps with itself
+    same = members.groupBy("cls").agg(F.max("in_train").alias("t"), F.max(~F.col("in_train")).alias("e")).where("t and e").select(F.col("cls").alias("a"), F.col("cls").alias("b"))
+    links = cut(pairs.unionByName(same).distinct().join(n.select(F.col("cls").alias("b"), "t"), "b"))
+    met = ev.withColumnRenamed("cls", "a").join(links.groupBy("a").agg(F.sum("t").alias("t")), "a")
+    counts = met.groupBy("split", "source").agg(F.sum("e").alias("eval_records"), F.sum(F.col("e") * F.col("t")).alias("pairs"))
+    train = ev.withColumnRenamed("cls", "a").join(links, "a").select("split", "source", "b", "t").distinct().groupBy("split", "source").agg(F.sum("t").alias("train_records"))
+    on = counts["split"].eqNullSafe(train["split"]) & counts["source"].eqNullSafe(train["source"])
+    return counts.join(train, on).select(counts["split"], counts["source"], "eval_records", "train_records", "pairs")
+
+
 def p2_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overlapping evaluation and train records per split and source of the evaluation record."""
-    sides = cut(splits_of(read(spark, sf_dir, "records"), read(spark, sf_dir, "manifest")))
-    pairs = overlaps(sides)
-    of = sides.select(F.col("rec_id").alias("eval_rec"), F.coalesce("split", F.lit("none")).alias("split"), "source")
-    g = pairs.join(of, "eval_rec").groupBy("split", "source")
-    return g.agg(F.count_distinct("eval_rec").alias("eval_records"), F.count_distinct("train_rec").alias("train_records"), F.count("*").alias("pairs"))
+    return report(splits_of(read(spark, sf_dir, "records"), read(spark, sf_dir, "manifest")))
 
 
 def queries() -> dict:

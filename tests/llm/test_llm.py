@@ -161,6 +161,21 @@ def test_overlaps_against_brute_force(spark):
     assert got - {(102, 103)} == want and len(want) > 5
 
 
+def test_report_counts_pairs(spark):
+    rnd = random.Random(30)
+    base = [" ".join(rnd.choice("abcdefghij") * 3 for _ in range(40)) for _ in range(3)]
+    near = base[0].replace("aaa", "zzz", 1)
+    rows = [record(i, user=rnd.choice([*base, near, f"nur hier {i}"]), split=rnd.choice(["train", "train", "val", "test", None]), source=rnd.choice(["q1", "q2", None])) for i in range(120)]
+    sides = overlaps.splits_of(frame(spark, rows), frame(spark, [], MAN))
+    of = {r[0]: (r[3] if r[3] in ("train", "test") else "validation" if r[3] == "val" else "none", r[5]) for r in rows}
+    want = {}
+    for p in overlaps.overlaps(sides).collect():
+        g = want.setdefault(of[p["eval_rec"]], (set(), set(), []))
+        g[0].add(p["eval_rec"]), g[1].add(p["train_rec"]), g[2].append(1)
+    got = {(r["split"], r["source"]): (r["eval_records"], r["train_records"], r["pairs"]) for r in overlaps.report(sides).collect()}
+    assert got == {k: tuple(map(len, v)) for k, v in want.items()} and len(got) > 5
+
+
 def test_agreement():
     a = [str(i) for i in range(10)]
     assert overlaps.agreement_reached(a, a[:8]) and not overlaps.agreement_reached(a, a[:7]) and overlaps.agreement_reached(a, a[2:])
