@@ -44,6 +44,8 @@ PRIOR_TIMES = 100.0
 BADLY = 12.0
 #: Times a word that stands nowhere else counts, and one with signs that stand in no clean word.
 UNSEEN, ODD_SEEN = 0.5, 0.0005
+#: Pairs of words (some 40 bytes each) that are broadcast at most.
+BROADCAST_ROWS = 500_000
 #: Characters by which a filled line may miss the width (misread characters change lengths).
 SLACK = 3
 #: Signs that stand in no clean word between or before letters.
@@ -104,6 +106,12 @@ def line_width(lines: list[str]) -> int | None:
     return best[len(best) // 2]
 
 
+def page_lines(lines: list[str]) -> set[int]:
+    """Numbers of the lines that are page numbers, in a text of more lines."""
+    body = [i for i, x in enumerate(lines) if x.strip()]
+    return {i for i in body if is_page(lines[i])} if len(body) > 1 else set()
+
+
 def marked(lines: list[str]) -> tuple[set[int], dict[int, tuple[bool, bool, bool, bool]]]:
     """(numbers of lines that are page numbers, {number of a line that may be a running header: (sure, beside a page number, open, amid)}).
 
@@ -112,9 +120,9 @@ def marked(lines: list[str]) -> tuple[set[int], dict[int, tuple[bool, bool, bool
     bare number counts as page number only on a line of its own in a text of more lines.
     """
     body = [i for i, x in enumerate(lines) if x.strip()]
+    pages = page_lines(lines)
     if len(body) < 2:
-        return set(), {}
-    pages = {i for i in body if is_page(lines[i])}
+        return pages, {}
     near = {j for a, b in zip(body, body[1:]) if (a in pages) != (b in pages) for j in (a, b)} - pages
     flow = [i for i in body if i not in pages]
     width = line_width([x for i, x in enumerate(lines) if i not in pages])
@@ -154,8 +162,11 @@ def structure(text: str | None, headers: set[int] | None = None) -> tuple[list[s
     if text is None or not text.strip():
         return [], kinds
     lines = text.split("\n")
-    pages, may = marked(lines)
-    headers = {i for i, (sure, *_) in may.items() if sure} if headers is None else headers
+    if headers is None:
+        pages, may = marked(lines)
+        headers = {i for i, (sure, *_) in may.items() if sure}
+    else:
+        pages = page_lines(lines)
     kept: list[str] = []
     for k, line in enumerate(lines):
         if k in pages:
@@ -433,7 +444,10 @@ def repaired(texts: DataFrame) -> DataFrame:
     asked = mine.select("h", "a0", "b0", F.explode("as").alias("a"), "bs").select("h", "a0", "b0", "a", F.explode("bs").alias("b")).select("h", "a", "b", own.alias("own")).distinct()
     asked = written(asked, "asked")
     next_to = docs.where(F.size("words") > 1).select("copies", F.explode(row).alias("g")).select("g.a", "g.b", "copies")
-    counts = next_to.groupBy("a", "b").agg(F.count("*").alias("n"), F.sum("copies").alias("c")).join(asked.select("a", "b").distinct(), ["a", "b"], "left_semi")
+    # only what is asked for is counted: found by broadcast if it is small, else by hash
+    wanted = asked.select("a", "b").distinct()
+    wanted = F.broadcast(wanted) if asked.count() <= BROADCAST_ROWS else wanted
+    counts = next_to.join(wanted, ["a", "b"], "left_semi").groupBy("a", "b").agg(F.count("*").alias("n"), F.sum("copies").alias("c"))
     every = words.agg(F.sum("copies")).first()[0] or 1
     of = lambda x: words.select(F.col("word").alias(x), F.col("copies").alias(f"c{x}"))
     counts = counts.join(of("a"), "a").join(of("b"), "b")
