@@ -31,10 +31,13 @@ class Options:
 
 @dataclass
 class Built:
+    """records: kept. rejects: dropped or moved to train. recovered: ledger rows of sittings that became whole documents."""
+
     records: DataFrame
     rejects: DataFrame
     summary: DataFrame
     untagged: DataFrame
+    recovered: DataFrame
 
 
 def paired_texts(transcripts: DataFrame, minutes: DataFrame, threshold: float) -> DataFrame:
@@ -78,6 +81,8 @@ def build(transcripts: DataFrame, minutes: DataFrame, manifest: DataFrame, exclu
     good = good.withColumn("meta", F.struct("meta.*", F.col("seq_tokens").cast("int").alias("seq_tokens")))
     numbers = good.select("stem", "split", "meta.src_tokens", "meta.tgt_tokens", "seq_tokens")
     rejects = dataset.reject_ledger(rows)
-    if o.granularity != "document":
-        rejects = rejects.unionByName(dataset.untagged_rejects(untagged, o.include_untagged))
-    return Built(good.select("stem", "top", "split", "messages", "meta"), rejects, dataset.summary(numbers, ["src_tokens", "tgt_tokens", "seq_tokens"]), untagged)
+    # sittings without an aligned item are rejects, or were recovered, which the report of a build lists too
+    recovered = dataset.untagged_rejects(untagged, True).where(F.lit(o.include_untagged))
+    if o.granularity != "document" and not o.include_untagged:
+        rejects = rejects.unionByName(dataset.untagged_rejects(untagged))
+    return Built(good.select("stem", "top", "split", "messages", "meta"), rejects, dataset.summary(numbers, ["src_tokens", "tgt_tokens", "seq_tokens"]), untagged, recovered)

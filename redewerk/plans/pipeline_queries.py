@@ -115,6 +115,13 @@ def build_with_documents(t):
     return _built(t, include_untagged=True).records.groupBy("stem", F.col("meta.strategy").alias("strategy")).agg(F.count("*").alias("n"))
 
 
+@query("stem:s top:s reason:s disposition:s", f"select stem, top, reason, disposition from {_REJECTED} where reason <> 'no-aligned-tops' union all select stem, '*', 'no-aligned-tops', 'recovered' from {_UNTAGGED}")
+def build_report_with_documents(t):
+    """The whole report of a build in which sittings without an aligned item become documents; documents too short are rejects of their own."""
+    b = _built(t, include_untagged=True)
+    return b.rejects.where("top <> 'document'").unionByName(b.recovered).select("stem", "top", "reason", "disposition")
+
+
 # ------------------------------------------------------------------ resolution
 _W1 = Q._INTRO
 _HAND = Q._HAND.replace(Q._SPE, Q._SPI)
