@@ -8,11 +8,15 @@ from pyspark.sql import Window as W
 
 #: Seconds of a time bucket. Both sides meet by session and bucket, so a long session is spread over tasks.
 BUCKET_S = 60.0
+#: An interval over more buckets (a wrong end, as a rule) meets the other side by session instead of being repeated in each.
+MOST_BUCKETS = 1440
 
 
-def _bucketed(df: DataFrame, start: str, end: str) -> DataFrame:
+def _spread(df: DataFrame, start: str, end: str) -> tuple[DataFrame, DataFrame]:
+    """(rows of usual length with each ``bucket`` they touch, rows over more than MOST_BUCKETS)."""
     lo, hi = (F.floor(F.col(c) / BUCKET_S) for c in (start, end))
-    return df.withColumn("bucket", F.explode(F.sequence(lo, F.greatest(lo, hi))))
+    long = hi - lo > MOST_BUCKETS
+    return df.where(~long).withColumn("bucket", F.explode(F.sequence(lo, F.greatest(lo, hi)))), df.where(long)
 
 
 def overlap_assigned(segments: DataFrame, turns: DataFrame, keys: list[str]) -> DataFrame:
@@ -20,9 +24,12 @@ def overlap_assigned(segments: DataFrame, turns: DataFrame, keys: list[str]) ->
 
     Null times overlap nothing.
     """
-    s = _bucketed(segments.where("start is not null and end is not null").select(*keys, "ord", F.col("start").alias("s0"), F.col("end").alias("s1")), "s0", "s1")
-    t = _bucketed(turns.where("start is not null and end is not null and end > start").select(*keys, F.col("start").alias("t0"), F.col("end").alias("t1"), "speaker"), "t0", "t1")
-    met = s.join(t, [*keys, "bucket"]).withColumn("overlap", F.least("s1", "t1") - F.greatest("s0", "t0")).where("overlap > 0")
+    every_s = segments.where("start is not null and end is not null").select(*keys, "ord", F.col("start").alias("s0"), F.col("end").alias("s1"))
+    every_t = turns.where("start is not null and end is not null and end > start").select(*keys, F.col("start").alias("t0"), F.col("end").alias("t1"), "speaker")
+    (s, long_s), (t, long_t) = _spread(every_s, "s0", "s1"), _spread(every_t, "t0", "t1")
+    cols = [*keys, "ord", "s0", "s1", "t0", "t1", "speaker"]
+    met = s.join(t, [*keys, "bucket"]).select(*cols).unionByName(long_s.join(every_t, keys).select(*cols)).unionByName(s.drop("bucket").distinct().join(long_t, keys).select(*cols))
+    met = met.withColumn("overlap", F.least("s1", "t1") - F.greatest("s0", "t0")).where("overlap > 0")
     best = met.groupBy(*keys, "ord").agg(F.max_by("speaker", F.struct("overlap", -F.col("t0"), -F.col("t1"), "speaker")).alias("overlap_speaker"))
     return segments.join(best, [*keys, "ord"], "left")
 

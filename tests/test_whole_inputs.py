@@ -33,3 +33,12 @@ def test_all_protocols_of_a_sitting(spark, at):
     path = at("documents", rows, "doc_id bigint, text string, stem string, kind string, created_at timestamp")
     got = queries._protocols(lambda name: spark.read.parquet(f"{path}/{name}.parquet")).collect()
     assert [tuple(r) for r in got] == [("S", "Zeta spricht.\nAlpha spricht.")]
+
+
+def test_overlap_with_a_huge_end(spark):
+    from redewerk.operators import intervals
+
+    seg = spark.createDataFrame([("s", 0, 0.0, 5.0), ("s", 1, 5.0, 1e12), ("s", 2, 200.0, 210.0), ("s", 3, 300.0, None)], "stem string, ord int, start double, end double")
+    dia = spark.createDataFrame([("s", 1.0, 4.0, "A"), ("s", 100.0, 1e11, "B"), ("s", 205.0, 207.0, "C"), ("t", 0.0, 9.0, "D")], "stem string, start double, end double, speaker string")
+    got = {r["ord"]: r["overlap_speaker"] for r in intervals.overlap_assigned(seg, dia, ["stem"]).collect()}
+    assert got == {0: "A", 1: "B", 2: "B", 3: None}
