@@ -42,3 +42,11 @@ def test_overlap_with_a_huge_end(spark):
     dia = spark.createDataFrame([("s", 1.0, 4.0, "A"), ("s", 100.0, 1e11, "B"), ("s", 205.0, 207.0, "C"), ("t", 0.0, 9.0, "D")], "stem string, start double, end double, speaker string")
     got = {r["ord"]: r["overlap_speaker"] for r in intervals.overlap_assigned(seg, dia, ["stem"]).collect()}
     assert got == {0: "A", 1: "B", 2: "B", 3: None}
+
+
+def test_transcript_in_order_of_parts_whatever_their_numbers(spark, at):
+    parts = [("A", 3000, 0, "drei"), ("A", 2147, 483648, "zwei"), ("A", 1, 7, "eins"), ("B", 2, 0, "zwei"), ("B", 1, 1500000, "eins"), ("B", 2147483647, 2147483647, "drei"), ("C", None, 0, "drei"), ("C", 1, None, "zwei"), ("C", 1, 0, "eins")]
+    rows = [(i, s, pt, o, 0.0, 1.0, f"SPEAKER_{x}", None, x) for i, (s, pt, o, x) in enumerate(parts)]
+    got = {r["stem"]: r["text"] for r in catalog.queries()["transcript_markdown"](spark, at("segments", rows, SEG)).collect()}
+    blocks = [f"<SD-SPK>SPEAKER_{x}</SD>\n[00:00:00.000 --> 00:00:01.000] {x}" for x in ("eins", "zwei", "drei")]
+    assert got == dict.fromkeys("ABC", "Kopf\n" + "\n\n".join(blocks) + "\n")
